@@ -4,8 +4,8 @@
    and beginnings of words) that toxic rows hold far more often than clean ones. Every voter votes toxic or abstains, and
    one votes clean where no other speaks.
 2. A generative label model over the voters, fitted by expectation maximisation without labels, estimates how often each
-   votes on toxic and on clean rows, and how much pairs of them agree beyond that. Votes of correlated voters share
-   their weight.
+   votes on toxic and on clean rows, and how much pairs of them agree beyond that. Voters that depend on each other
+   count as one source.
 3. A logistic regression over sparse terms is trained on the model's posterior, and it alone scores texts.
 
 Labels serve to find terms and the share of toxic rows. The training rows are a bounded sample, ``SAMPLE`` rows with the
@@ -82,17 +82,20 @@ def _indexed(terms):
 
 
 class LabelModel:
-    """Class-conditional vote rates, fitted without labels, and weights that correlated voters share."""
+    """Class-conditional vote rates, fitted without labels, and groups of voters that depend on each other."""
+
+    #: Correlation beyond which voters count as one source.
+    DEPENDENT = 0.4
 
     def __init__(self, prior: float, rounds: int = 40):
         self.prior, self.rounds = min(max(prior, 1e-3), 1 - 1e-3), rounds
 
     def fit(self, votes: np.ndarray) -> LabelModel:
         """votes: rows by voters, 1 where a voter votes toxic; the last voter votes clean."""
-        n, m = votes.shape
+        m = votes.shape[1]
         speaks = votes[:, :-1].any(axis=1)
         post = np.where(speaks, 0.9, 0.02)
-        self.weight = np.ones(m)
+        self.group = np.arange(m)
         for step in range(self.rounds):
             on, off = post.sum(), (1 - post).sum()
             self.rate = np.stack([(post @ votes + 0.05) / (on + 0.1), ((1 - post) @ votes + 0.05) / (off + 0.1)])
@@ -102,21 +105,23 @@ class LabelModel:
         return self
 
     def _correlate(self, votes: np.ndarray, post: np.ndarray) -> None:
-        mean = post[:, None] * self.rate[0] + (1 - post)[:, None] * self.rate[1]
-        rest = votes - mean
+        rest = votes - post[:, None] * self.rate[0] - (1 - post)[:, None] * self.rate[1]
         cov = rest.T @ rest / len(votes)
         dev = np.sqrt(np.diag(cov)) + 1e-9
         self.correlation = cov / dev[:, None] / dev[None, :]
-        excess = np.where(np.abs(self.correlation) > 0.5, np.abs(self.correlation), 0.0)
-        np.fill_diagonal(excess, 0.0)
-        self.weight = 1 / (1 + excess.sum(axis=1))
+        for i, j in zip(*np.nonzero(np.triu(self.correlation > self.DEPENDENT, 1)), strict=True):
+            a, b = self.group[i], self.group[j]
+            self.group[self.group == max(a, b)] = min(a, b)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Of a group's votes the strongest counts. An abstention doesn't: voters are silent on most rows of either kind."""
         rate = np.clip(self.rate, 1e-4, 1 - 1e-4)
-        # a voter that abstains says little, as most terms are rare in toxic rows too: only votes count, and the vote for clean
-        gain = (np.log(rate[0]) - np.log(rate[1])) * self.weight
-        logit = math.log(self.prior / (1 - self.prior)) + votes @ gain
-        return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
+        said = votes * (np.log(rate[0]) - np.log(rate[1]))
+        order = np.argsort(self.group, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(self.group[order]) > 0])
+        said = said[:, order]
+        logit = np.maximum.reduceat(np.maximum(said, 0), first, axis=1).sum(axis=1) + np.minimum.reduceat(np.minimum(said, 0), first, axis=1).sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(logit + math.log(self.prior / (1 - self.prior)), -40, 40)))
 
 
 def fit_linear(rows: list[np.ndarray], target: np.ndarray, width: int, rounds: int = 400, l2: float = 1e-5) -> tuple[np.ndarray, float]:

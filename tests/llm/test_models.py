@@ -143,7 +143,7 @@ def test_label_model_weighs_voters():
     votes[:, 4] = ~votes[:, :4].any(axis=1)
     model = LabelModel(0.2).fit(votes)
     assert model.rate[0][0] > 0.4 and model.rate[1][0] < 0.1
-    assert model.weight[0] < model.weight[1] and model.correlation[0, 3] > 0.9
+    assert model.group[0] == model.group[3] != model.group[1] and model.correlation[0, 3] > 0.9
 
 
 def test_toxicity_on_held_out_labels(spark):
