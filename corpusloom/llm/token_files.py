@@ -26,21 +26,21 @@ SEGMENT = 1 << 20
 #: Ids that a task holds before it hands them on.
 HELD = 1 << 21
 
-_HEAD = struct.Struct("<4sIQI")
+_HEAD = "<4sIQI"
 _STAGED = "part int, keys binary, nulls binary, counts binary, ids binary"
 
 
 def pack_segment(book: Codebook, keys: np.ndarray, nulls: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     starts, data = book.encode(ids)
-    return b"".join([_HEAD.pack(b"TOK1", len(keys), len(ids), len(starts)), keys.astype("<i8").tobytes(), nulls.astype("u1").tobytes(), counts.astype("<u4").tobytes(), starts.astype("<u8").tobytes(), data])
+    return b"".join([struct.pack(_HEAD, b"TOK1", len(keys), len(ids), len(starts)), keys.astype("<i8").tobytes(), nulls.astype("u1").tobytes(), counts.astype("<u4").tobytes(), starts.astype("<u8").tobytes(), data])
 
 
 def read_segment(book: Codebook, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document ids, nulls, ids of each document, all ids)."""
-    magic, docs, n, blocks = _HEAD.unpack_from(data)
+    magic, docs, n, blocks = struct.unpack_from(_HEAD, data)
     if magic != b"TOK1":
         raise ValueError("not a token segment")
-    at, out = _HEAD.size, []
+    at, out = struct.calcsize(_HEAD), []
     for kind, count in (("<i8", docs), ("u1", docs), ("<u4", docs), ("<u8", blocks)):
         out.append(np.frombuffer(data, dtype=kind, count=count, offset=at))
         at += out[-1].nbytes
