@@ -3,12 +3,12 @@
 1. Voters. Some are written down: a list of insults and four patterns. The others come from labelled rows: terms (words,
    and beginnings of words) that toxic rows hold far more often than clean ones. Every voter votes toxic or abstains, and
    one votes clean where no other speaks.
-2. A generative label model over the voters, fitted by expectation maximisation without labels, estimates how often each
+2. A generative label model over the voters, fitted by expectation maximisation, estimates how often each
    votes on toxic and on clean rows, and how much pairs of them agree beyond that. Voters that depend on each other
    count as one source.
 3. A logistic regression over sparse terms is trained on the model's posterior, and it alone scores texts.
 
-Labels serve to find terms and the share of toxic rows. The training rows are a bounded sample, ``SAMPLE`` rows with the
+Labels serve to find terms, and to anchor the label model. The training rows are a bounded sample, ``SAMPLE`` rows with the
 smallest hashes of their ids among the labelled ones; all else covers every row.
 """
 
@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +47,14 @@ PATTERNS = (
 
 
 def terms_of(text: bytes) -> set[bytes]:
+    """The distinct words, ``beginning*``, and ``beginning**`` or ``beginning****`` where 2 or 4 distinct words begin so."""
     words = set(text.translate(_CUT).split())
-    return words | {w[:n] + b"*" for w in words for n in STEMS if len(w) > n}
+    begun = Counter(w[:n] + b"*" for w in words for n in STEMS if len(w) > n)
+    return words | with_repeats(begun)
+
+
+def with_repeats(begun: dict[bytes, int]) -> set[bytes]:
+    return set(begun) | {t + b"*" for t, n in begun.items() if n > 1} | {t + b"***" for t, n in begun.items() if n > 3}
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column) -> DataFrame:
@@ -57,14 +65,16 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 
 def _exploded(batches):
+    """Terms of each row with a signature that copies, and most near copies, have in common."""
     for batch in batches:
         toxic = batch.column(1).to_pylist()
-        terms, marks = [], []
+        terms, marks, signs = [], [], []
         for t, y in zip(batch.column(0), toxic, strict=True):
             own = terms_of(t.as_buffer().to_pybytes())
             terms += own
             marks += [y] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(terms, type=pa.binary()), pa.array(marks, type=pa.int32())], names=["term", "toxic"])
+            signs += [min(map(zlib.crc32, own), default=0)] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(terms, type=pa.binary()), pa.array(marks, type=pa.int32()), pa.array(signs, type=pa.int64())], names=["term", "toxic", "sign"])
 
 
 def _indexed(terms):
@@ -76,7 +86,7 @@ def _indexed(terms):
                 raw = t.as_buffer().to_pybytes()
                 found.append(sorted(index[x] for x in terms_of(raw) if x in index))
                 marks.append(sum(1 << k for k, (_, p) in enumerate(PATTERNS) if p.search(raw)))
-            yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.list_(pa.int32())), pa.array(marks, type=pa.int32())], names=["found", "marks"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.list_(pa.int32())), pa.array(marks, type=pa.int32()), batch.column(1)], names=["found", "marks", "toxic"])
 
     return run
 
@@ -90,17 +100,21 @@ class LabelModel:
     def __init__(self, prior: float, rounds: int = 40):
         self.prior, self.rounds = min(max(prior, 1e-3), 1 - 1e-3), rounds
 
-    def fit(self, votes: np.ndarray) -> LabelModel:
-        """votes: rows by voters, 1 where a voter votes toxic; the last voter votes clean."""
-        m = votes.shape[1]
+    def fit(self, votes: np.ndarray, anchor: np.ndarray | None = None) -> LabelModel:
+        """votes: rows by voters, 1 where a voter votes toxic; the last voter votes clean.
+
+        ``anchor``, what is known of each row's class, has half the say when rates are estimated; it keeps a large group of
+        voters that agree for another reason (copies of one text) from taking over a class.
+        """
         speaks = votes[:, :-1].any(axis=1)
         post = np.where(speaks, 0.9, 0.02)
-        self.group = np.arange(m)
+        self.group = np.arange(votes.shape[1])
         for step in range(self.rounds):
-            on, off = post.sum(), (1 - post).sum()
-            self.rate = np.stack([(post @ votes + 0.05) / (on + 0.1), ((1 - post) @ votes + 0.05) / (off + 0.1)])
+            held = post if anchor is None else (post + anchor) / 2
+            on, off = held.sum(), (1 - held).sum()
+            self.rate = np.stack([(held @ votes + 0.05) / (on + 0.1), ((1 - held) @ votes + 0.05) / (off + 0.1)])
             if step == self.rounds // 2:
-                self._correlate(votes, post)
+                self._correlate(votes, held)
             post = self.posterior(votes)
         return self
 
@@ -151,22 +165,24 @@ class Model:
     def __init__(self, terms: list[bytes], weights: np.ndarray, bias: float):
         self.weights = {t: float(w) for t, w in zip(terms, weights, strict=True) if w}
         self.bias = bias
+        self.tracked = {t.rstrip(b"*") + b"*" if t.endswith(b"*") else t for t in self.weights}
         self.seen: dict[bytes, tuple[bytes, ...]] = {}
 
     def _known(self, word: bytes) -> tuple[bytes, ...]:
-        got = tuple(t for t in (word, *(word[:n] + b"*" for n in STEMS if len(word) > n)) if t in self.weights)
+        got = tuple(t for t in (word, *(word[:n] + b"*" for n in STEMS if len(word) > n)) if t in self.tracked)
         if len(self.seen) < 200_000:
             self.seen[word] = got
         return got
 
     def score(self, text: bytes) -> float:
-        terms: set[bytes] = set()
+        held: dict[bytes, int] = {}
         for word in set(text.translate(_CUT).split()):
             got = self.seen.get(word)
             if got is None:
                 got = self._known(word)
-            if got:
-                terms.update(got)
+            for t in got:
+                held[t] = held.get(t, 0) + 1
+        terms = with_repeats(held) & self.weights.keys()
         z = self.bias + sum(self.weights[t] for t in sorted(terms))
         return 1 / (1 + math.exp(-min(max(z, -40.0), 40.0)))
 
@@ -183,16 +199,16 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad or not good:
         return Model([], np.zeros(0), math.log(40) if bad else -40.0)
-    sides = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_exploded, "term binary, toxic int").groupBy("term").agg(F.sum("toxic").alias("on"), F.sum(1 - F.col("toxic")).alias("off"))
-    ratio = F.log((F.col("on") + 0.1) / (bad + 0.2)) - F.log((F.col("off") + 0.1) / (good + 0.2))
+    sides = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_exploded, "term binary, toxic int, sign long").distinct().groupBy("term").agg(F.sum("toxic").alias("on"), F.sum(1 - F.col("toxic")).alias("off"))
+    ratio = F.log((F.col("on") + 0.5) / (bad + 1)) - F.log((F.col("off") + 0.5) / (good + 1))
     # terms of many rows and a clear lean; a fixed number of them
-    top = sides.where(F.col("on") >= max(LEAST_ROWS, LEAST_SHARE * bad)).withColumn("lean", ratio).where("lean > 2.5").orderBy(F.desc(F.col("lean") * F.sqrt("on")), "term").limit(TERMS - len(INSULTS)).collect()
+    top = sides.where(F.col("on") >= max(LEAST_ROWS, LEAST_SHARE * bad)).withColumn("lean", ratio).where("lean > 4.2").orderBy(F.desc(F.col("lean") * F.sqrt("on")), "term").limit(TERMS - len(INSULTS)).collect()
     terms = [bytes(r.term) for r in top]
     terms += [t for t in INSULTS if t not in set(terms)]
-    found = rows.select("t").mapInArrow(_indexed(spark.sparkContext.broadcast(terms)), "found array<int>, marks int").toPandas()  # at most SAMPLE rows
+    found = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_indexed(spark.sparkContext.broadcast(terms)), "found array<int>, marks int, toxic int").toPandas()  # at most SAMPLE rows
     held = [np.asarray(x, dtype=np.int64) for x in found["found"]]
     place = {t: i for i, t in enumerate(terms)}
-    learned = [place[bytes(r.term)] for r in top if r.lean > 3][:VOTERS]
+    learned = [place[bytes(r.term)] for r in top ][:VOTERS]
     voters = list(dict.fromkeys([*(place[t] for t in INSULTS), *learned]))
     column = {t: j for j, t in enumerate(voters)}
     votes = np.zeros((len(held), len(voters) + len(PATTERNS) + 1))
@@ -204,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     for k in range(len(PATTERNS)):
         votes[:, len(voters) + k] = marks >> k & 1
     votes[:, -1] = ~votes[:, :-1].any(axis=1)
-    model = LabelModel(bad / (bad + good)).fit(votes)
+    model = LabelModel(bad / (bad + good)).fit(votes, found["toxic"].to_numpy(dtype=np.float64))
     weights, bias = fit_linear(held, model.posterior(votes), len(terms))
     return Model(terms, weights, bias)
 
