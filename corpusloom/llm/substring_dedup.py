@@ -4,10 +4,10 @@ A suffix automaton of a reference tells, for each word of a streamed text, how l
 reference (the matching statistics). Here the reference is the corpus itself, so no automaton of it can be sent out
 whole. The corpus is cut so that each piece only needs one small automaton:
 
-1. Each window of 13 words names its anchor, the smallest hash of its 5-word runs. Equal windows have equal anchors.
+1. Each window of 13 words names its anchor, the smallest hash of its 8-word runs. Equal windows have equal anchors.
 2. Anchors that only one document holds are dropped (``shared_keys``): their windows can't repeat.
-3. For the others, each stretch of windows with one anchor is a piece of 13 to 21 words. Equal pieces collapse to the
-   smallest document that has one, before anything else moves.
+3. For the others, each stretch of windows with one anchor is a piece of 13 to 18 words. Equal pieces of a task collapse to
+   the smallest document that has one, before anything moves.
 4. All pieces of an anchor meet in one shard. In ascending order of document each is streamed through the shard's
    automaton; a match of 13 words gives the window's first document, and the stretches that match nothing are added.
    Shards hold a bounded number of words.
@@ -27,7 +27,7 @@ from .textops import gram_hashes, hash_words, scan, slices, sliding_argmin
 from .workspace import written
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 8
 #: Words in an automaton after which the next anchor starts a new one.
 SHARD_WORDS = 20_000
 #: Stands for a null document id: after all others.
@@ -152,9 +152,36 @@ def _pieces(window: int, k: int):
     return run
 
 
+#: Distinct pieces that a task holds before it hands them on.
+HELD_PIECES = 100_000
+
+
+def _distinct(window: int, k: int):
+    """Pieces with the smallest document of the task that has each."""
+    cut = _pieces(window, k)
+
+    def run(batches):
+        held: dict[tuple[int, bytes], int] = {}
+
+        def out():
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in held], type=pa.int64()), pa.array([p for _, p in held], type=pa.binary()), pa.array(list(held.values()), type=pa.int64())], names=["anchor", "piece", "owner"])
+            held.clear()
+
+        for batch in cut(batches):
+            for key, owner in zip(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True), batch.column(0).to_pylist(), strict=True):
+                if held.get(key, LAST) >= owner:
+                    held[key] = owner
+            if len(held) > HELD_PIECES:
+                yield from out()
+        yield from out()
+
+    return run
+
+
 def _first_documents(window: int, most: int):
     def run(batches):
         auto, held, now = SuffixAutomaton(), 0, None
+        seen: set[bytes] = set()
         for batch in batches:
             out: list[list] = [[], [], []]
             for anchor, mark, piece, owner in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
@@ -162,6 +189,10 @@ def _first_documents(window: int, most: int):
                     if held > most:
                         auto, held = SuffixAutomaton(), 0
                     now = anchor
+                    seen.clear()
+                if piece in seen:  # other tasks have it too
+                    continue
+                seen.add(piece)
                 words = piece.split(b" ")
                 found = auto.first_owners(words, window)
                 i, n = 0, len(found)
@@ -225,11 +256,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     hits = written(hits.groupBy("owner").agg(F.collect_list("key").alias("keys")), "anchors")
     base = marked.repartition(shards, k)
     found = base.join(hits, F.col(k) == F.col("owner")).select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text_col).alias("t"), "keys")
-    pieces = found.mapInArrow(_pieces(window, anchor), "k long, th long, at int, anchor long, piece binary").withColumn("mark", F.xxhash64("piece"))
-    distinct = pieces.groupBy("anchor", "mark", "piece").agg(F.min("k").alias("owner"))
-    ordered = distinct.repartition(shards, "anchor").sortWithinPartitions("anchor", "owner", "piece").select("anchor", "mark", "piece", "owner")
+    pieces = found.mapInArrow(_pieces(window, anchor), "k long, th long, at int, anchor long, piece binary").select("k", "th", "at", "anchor", F.xxhash64("piece").alias("mark"))
+    distinct = found.mapInArrow(_distinct(window, anchor), "anchor long, piece binary, owner long")
+    ordered = distinct.repartition(shards, "anchor").sortWithinPartitions("anchor", "owner", "piece").select("anchor", F.xxhash64("piece").alias("mark"), "piece", "owner")
     firsts = ordered.mapInArrow(_first_documents(window, shard_words), "anchor long, mark long, firsts array<long>")
-    spots = pieces.select("k", "th", "at", "anchor", "mark").join(firsts, ["anchor", "mark"]).where(F.exists("firsts", lambda x: x < F.col("k")))
+    spots = pieces.join(firsts, ["anchor", "mark"]).where(F.exists("firsts", lambda x: x < F.col("k")))
     earlier = F.filter(F.transform("firsts", lambda x, i: F.when(x < F.col("k"), F.col("at") + i)), lambda x: x.isNotNull())
     spans = spots.select("k", "th", earlier.alias("starts")).groupBy("k", "th").agg(F.flatten(F.collect_list("starts")).alias(covered))
     spans = spans.withColumnsRenamed({"k": sk, "th": sth})
