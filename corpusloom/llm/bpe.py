@@ -148,13 +148,18 @@ class BytePairs:
                 seen = end
         if self.size[longest[0]] == n:
             return [longest[0]]
-        size, shorter, fits = self.size, self.shorter, self.pair_fits
+        size, shorter, fits, known = self.size, self.shorter, self.pair_fits, self.fits
         alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
         at, token = 0, longest[0]
         while True:
             end = at + size[token]
-            if alive[end] and (not out or fits(out[-1], token)):
+            good = alive[end]
+            if good and out:
+                good = known.get((out[-1], token))
+                if good is None:
+                    good = fits(out[-1], token)
+            if good:
                 out.append(token)
                 at = end
                 if at == n:
