@@ -12,6 +12,8 @@ twice, so the work is linear in the text.
 from __future__ import annotations
 
 import json
+import os
+import sys
 from array import array
 from collections.abc import Iterable
 from hashlib import sha256
@@ -24,7 +26,9 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Pieces that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+#: Pieces that the library encodes in one text.
+JOINED = 2000
 
 #: Before the first piece of a stretch; no text holds a lone surrogate.
 _FIRST = "\ud800"
@@ -189,7 +193,9 @@ class BytePairs:
             ids: list[int] = []
             for word in self._pretokens(piece):
                 if (known := self.words.get(word)) is None:
-                    known = self.words[word] = self.encode_word(word.encode())
+                    known = self.encode_word(word.encode())
+                    if len(self.words) < REMEMBERED:
+                        self.words[word] = known
                 ids += known
             yield ids
 
@@ -217,13 +223,16 @@ class BytePairs:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids in each text)."""
-        if len(self.codes) > REMEMBERED:
-            self.forget()
         split = [self.split(t) for t in texts]
         every = list(chain.from_iterable(split))
-        self.learn(list(set(every).difference(self.codes)))
+        new, pieces, ids_before = list(set(every).difference(self.codes)), len(self.first), len(self.flat)
+        self.learn(new)
         chosen = np.array(list(map(self.codes.__getitem__, every)), dtype=np.int64)
         flat, first, count = (np.array(x, dtype=k) for x, k in ((self.flat, np.uint32), (self.first, np.int64), (self.count, np.int64)))
+        if len(self.codes) > REMEMBERED:  # frequent pieces came early; the rest isn't kept
+            for piece in new:
+                del self.codes[piece]
+            del self.first[pieces:], self.count[pieces:], self.flat[ids_before:]
         ids = take(flat, first[chosen], count[chosen])
         ends = np.r_[0, np.cumsum(count[chosen])]
         at = np.r_[0, np.cumsum([len(p) for p in split])].astype(np.int64)
@@ -242,6 +251,7 @@ class LibraryPairs(BytePairs):
     """The same cuts and bookkeeping, with the tokenizers library in place of the backtracking encoder."""
 
     def __init__(self, source: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already take all cores
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(source.decode())
@@ -250,10 +260,38 @@ class LibraryPairs(BytePairs):
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.at_special = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.words = {}
+        letter = set(byte_letters())
+        vocab = self.library.get_vocab()
+        self.bytes_of = np.zeros(1 + max(vocab.values()), dtype=np.int64)
+        for word, i in vocab.items():
+            self.bytes_of[i] = len(word) if letter.issuperset(word) else len(word.encode())
         self.forget()
 
     def ids_of(self, pieces: list[str]) -> Iterable[list[int]]:
-        return (got.ids for got in self.library.encode_batch_fast(pieces, add_special_tokens=False))
+        """Pieces that begin with their space and have no other white space at an end are encoded many in a text, and its ids cut where the pieces' bytes end."""
+        out: list[list[int]] = [[]] * len(pieces)
+        joined = [i for i, p in enumerate(pieces) if p not in self.special and p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
+        alone = sorted(set(range(len(pieces))).difference(joined))
+        for i, got in zip(alone, self.library.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = got.ids
+        for a in range(0, len(joined), JOINED):
+            part = joined[a : a + JOINED]
+            ids = self.library.encode_batch_fast(["".join([pieces[i] for i in part])], add_special_tokens=False)[0].ids
+            ends = np.cumsum([len(pieces[i].encode()) for i in part])
+            cut = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+            for i, x, y in zip(part, [0, *cut.tolist()], cut.tolist(), strict=False):
+                out[i] = ids[x:y]
+        return out
+
+
+def worker_coder(kind: type, source: bytes):
+    """The coder of this worker process, which keeps what it has learnt from one task to the next."""
+    kept = sys.__dict__.setdefault("_corpusloom_coders", {})
+    key = kind.__name__, sha256(source).hexdigest()
+    if key not in kept:
+        kept.clear()
+        kept[key] = kind(source)
+    return kept[key]
 
 
 def text_groups(texts: list[str], most: int = 1 << 20) -> Iterable[tuple[int, int]]:
@@ -282,7 +320,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     def run(batches):
         coder = None
         for batch in batches:
-            coder = coder or BytePairs(source.value)
+            coder = coder or worker_coder(BytePairs, source.value)
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in text_groups(texts):
                 ids, counts = coder.encode(texts[a:b])

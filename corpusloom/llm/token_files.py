@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import LibraryPairs, text_groups
+from .bpe import LibraryPairs, text_groups, worker_coder
 from .huffman import LIMIT, Codebook, code_lengths
 from .workspace import new_folder, remove_folder
 
@@ -86,7 +86,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
             held.clear()
 
         for batch in batches:
-            coder = coder or LibraryPairs(source.value)
+            coder = coder or worker_coder(LibraryPairs, source.value)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             key = batch.column(0)
             nulls, keys = np.array(key.is_null()), np.array(key.fill_null(0), dtype=np.int64)
