@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-from array import array
 from collections.abc import Iterable
 from hashlib import sha256
 from itertools import chain
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 #: Pieces that a worker remembers before it starts anew; bounds its memory.
 REMEMBERED = 500_000
 #: Pieces that the library encodes in one text.
-JOINED = 2000
+JOINED = 20_000
 
 #: Before the first piece of a stretch; no text holds a lone surrogate.
 _FIRST = "\ud800"
@@ -113,7 +112,7 @@ class BytePairs:
 
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.flat, self.first, self.count = array("I"), array("q"), array("q")
+        self.flat, self.first, self.count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.words.clear()
 
     def pair_fits(self, left: int, right: int) -> bool:
@@ -201,11 +200,14 @@ class BytePairs:
 
     def learn(self, keys: list[str]) -> None:
         pieces = [k[1:] if k[:1] == _FIRST else " " + k for k in keys]
-        for key, ids in zip(keys, self.ids_of(pieces), strict=True):
-            self.codes[key] = len(self.first)
-            self.first.append(len(self.flat))
-            self.count.append(len(ids))
-            self.flat.extend(ids)
+        got = list(self.ids_of(pieces))
+        self._add(keys, np.array([len(ids) for ids in got], dtype=np.int64), np.fromiter(chain.from_iterable(got), dtype=np.uint32))
+
+    def _add(self, keys: list[str], count: np.ndarray, ids: np.ndarray) -> None:
+        self.codes.update(zip(keys, range(len(self.first), len(self.first) + len(keys)), strict=True))
+        self.first = np.r_[self.first, len(self.flat) + np.cumsum(count) - count]
+        self.count = np.r_[self.count, count]
+        self.flat = np.r_[self.flat, ids]
 
     def split(self, text: str) -> list[str]:
         """Pieces whose ids don't depend on what stands around them: the first of each stretch marked, the others without the space before them."""
@@ -228,11 +230,11 @@ class BytePairs:
         new, pieces, ids_before = list(set(every).difference(self.codes)), len(self.first), len(self.flat)
         self.learn(new)
         chosen = np.array(list(map(self.codes.__getitem__, every)), dtype=np.int64)
-        flat, first, count = (np.array(x, dtype=k) for x, k in ((self.flat, np.uint32), (self.first, np.int64), (self.count, np.int64)))
+        flat, first, count = self.flat, self.first, self.count
         if len(self.codes) > REMEMBERED:  # frequent pieces came early; the rest isn't kept
             for piece in new:
                 del self.codes[piece]
-            del self.first[pieces:], self.count[pieces:], self.flat[ids_before:]
+            self.first, self.count, self.flat = first[:pieces], count[:pieces], flat[:ids_before]
         ids = take(flat, first[chosen], count[chosen])
         ends = np.r_[0, np.cumsum(count[chosen])]
         at = np.r_[0, np.cumsum([len(p) for p in split])].astype(np.int64)
@@ -268,20 +270,19 @@ class LibraryPairs(BytePairs):
         self.forget()
 
     def ids_of(self, pieces: list[str]) -> Iterable[list[int]]:
+        return (got.ids for got in self.library.encode_batch_fast(pieces, add_special_tokens=False))
+
+    def learn(self, keys: list[str]) -> None:
         """Pieces that begin with their space and have no other white space at an end are encoded many in a text, and its ids cut where the pieces' bytes end."""
-        out: list[list[int]] = [[]] * len(pieces)
-        joined = [i for i, p in enumerate(pieces) if p not in self.special and p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
-        alone = sorted(set(range(len(pieces))).difference(joined))
-        for i, got in zip(alone, self.library.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False), strict=True):
-            out[i] = got.ids
+        alone = [k for k in keys if k[:1] == _FIRST or not k or k.strip() != k or " " + k in self.special]
+        super().learn(alone)
+        joined = list(set(keys).difference(alone)) if alone else keys
         for a in range(0, len(joined), JOINED):
             part = joined[a : a + JOINED]
-            ids = self.library.encode_batch_fast(["".join([pieces[i] for i in part])], add_special_tokens=False)[0].ids
-            ends = np.cumsum([len(pieces[i].encode()) for i in part])
+            ids = np.array(self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, part)), dtype=np.int64) + 1)
             cut = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            for i, x, y in zip(part, [0, *cut.tolist()], cut.tolist(), strict=False):
-                out[i] = ids[x:y]
-        return out
+            self._add(part, np.diff(cut, prepend=0), ids)
 
 
 def worker_coder(kind: type, source: bytes):

@@ -23,6 +23,8 @@ from .workspace import new_folder, remove_folder
 
 #: Ids in a segment, but for a document that is longer alone.
 SEGMENT = 1 << 20
+#: Characters of the texts that are encoded together.
+TEXT = 1 << 22
 #: Ids that a task holds before it hands them on.
 HELD = 1 << 21
 
@@ -90,7 +92,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
             texts = [t or "" for t in batch.column(1).to_pylist()]
             key = batch.column(0)
             nulls, keys = np.array(key.is_null()), np.array(key.fill_null(0), dtype=np.int64)
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, TEXT):
                 ids, counts = coder.encode(texts[a:b])
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 held.append((keys[a:b], nulls[a:b], counts + 1, ids.astype(np.uint32)))

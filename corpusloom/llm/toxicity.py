@@ -138,7 +138,7 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit + math.log(self.prior / (1 - self.prior)), -40, 40)))
 
 
-def fit_linear(rows: list[np.ndarray], target: np.ndarray, width: int, rounds: int = 400, l2: float = 1e-5) -> tuple[np.ndarray, float]:
+def fit_linear(rows: list[np.ndarray], target: np.ndarray, width: int, rounds: int = 400, l2: float = 2e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft targets (full-batch Adam)."""
     n = len(rows)
     size = np.array([len(r) for r in rows])
