@@ -4,9 +4,10 @@ A suffix automaton of a reference tells, for each word of a streamed text, how l
 reference (the matching statistics). Here the reference is the corpus itself, so no automaton of it can be sent out
 whole. The corpus is cut so that each piece only needs one small automaton:
 
-1. Each window of 13 words names its anchor, the smallest hash of its 8-word runs. Equal windows have equal anchors.
-2. Anchors that only one document holds are dropped (``shared_keys``): their windows can't repeat.
-3. For the others, each stretch of windows with one anchor is a piece of 13 to 18 words. Equal pieces of a task collapse to
+1. Each window of 13 words names its anchor, the smallest hash of its 6-word runs. Equal windows have equal anchors.
+2. Of documents with equal texts only the first goes on; the others lose every window by that.
+   Anchors that only one document holds are dropped (``shared_keys``): their windows can't repeat.
+3. For the others, each stretch of windows with one anchor is a piece of 13 to 20 words. Equal pieces of a task collapse to
    the smallest document that has one, before anything moves.
 4. All pieces of an anchor meet in one shard. In ascending order of document each is streamed through the shard's
    automaton; a match of 13 words gives the window's first document, and the stretches that match nothing are added.
@@ -24,10 +25,9 @@ from pyspark.sql import functions as F
 from .frames import free_name
 from .shared import shard_count, shared_keys
 from .textops import gram_hashes, hash_words, scan, slices, sliding_argmin
-from .workspace import written
 
 WINDOW = 13
-ANCHOR = 8
+ANCHOR = 6
 #: Words in an automaton after which the next anchor starts a new one.
 SHARD_WORDS = 20_000
 #: Stands for a null document id: after all others.
@@ -104,8 +104,8 @@ def _anchors(wh: np.ndarray, row: np.ndarray, window: int, k: int) -> tuple[np.n
 
 def _anchor_keys(window: int, k: int):
     def extract(batch: pa.RecordBatch):
-        keys = np.array(batch.column(0), dtype=np.int64)
-        for a, _b, raw, off in slices(batch.column(1)):
+        keys = np.array(batch.column("k"), dtype=np.int64)
+        for a, _b, raw, off in slices(batch.column("t")):
             start, end, row = scan(raw, off)
             if len(start) < window:
                 continue
@@ -120,9 +120,8 @@ def _anchor_keys(window: int, k: int):
 def _pieces(window: int, k: int):
     def run(batches):
         for batch in batches:
-            keys, hashes = batch.column(0), batch.column(1)
-            lists = batch.column(3)
-            for a, b, raw, off in slices(batch.column(2)):
+            keys, hashes, lists = (batch.column(c) for c in ("k", "th", "keys"))
+            for a, b, raw, off in slices(batch.column("t")):
                 start, end, row = scan(raw, off)
                 if len(start) < window:
                     continue
@@ -224,17 +223,19 @@ def _cut(at_text: int, name: str, window: int):
     def run(batches):
         for batch in batches:
             out = []
-            for text, covered in zip(batch.column(at_text), batch.column(batch.num_columns - 1), strict=True):
+            for text, copy, covered in zip(batch.column(at_text), batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1), strict=True):
                 words = text.as_buffer().to_pybytes().split() if text.is_valid else []
                 n = len(words)
-                if covered.is_valid and len(covered.values):
+                if copy:
+                    words = words if n < window else []
+                elif covered.is_valid and len(covered.values):
                     gone = np.zeros(n + 1, dtype=np.int32)
                     starts = np.array(covered.values, dtype=np.int64)
                     np.add.at(gone, starts, 1)
                     np.add.at(gone, starts + window, -1)
                     words = [w for w, c in zip(words, np.cumsum(gone[:n]).tolist(), strict=True) if not c]
                 out.append({"n_words": n, "n_removed": n - len(words), "kept": b" ".join(words)})
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(out, type=kind)], names=[*batch.schema.names[:-3], name])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, type=kind)], names=[*batch.schema.names[:-2], name])
 
     return run
 
@@ -248,22 +249,28 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     repeat an id are one document too and don't cover each other. An empty table gives an empty one.
     """
     shards = shard_count(docs)
-    k, th, covered, sk, sth = (free_name(docs, x) for x in ("_k", "_th", "_covered", "_sk", "_sth"))
+    k, th, th2, covered, copy = (free_name(docs, x) for x in ("_k", "_th", "_th2", "_covered", "_copy"))
     name = free_name(docs, name)
-    marked = docs.withColumns({k: F.coalesce(docs[id_col].cast("long"), F.lit(LAST)), th: F.xxhash64(docs[text_col])})
-    keyed = marked.select(F.col(k).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    hits = shared_keys(keyed, _anchor_keys(window, anchor), shards)
-    hits = written(hits.groupBy("owner").agg(F.collect_list("key").alias("keys")), "anchors")
+    text = docs[text_col]
+    marked = docs.withColumns({k: F.coalesce(docs[id_col].cast("long"), F.lit(LAST)), th: F.xxhash64(text), th2: F.xxhash64(F.lit(1), text)})
+    # everything meets the texts on the id alone, so that they move once; hashes of the text are compared beside it
     base = marked.repartition(shards, k)
-    found = base.join(hits, F.col(k) == F.col("owner")).select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text_col).alias("t"), "keys")
+    same = lambda a, b: F.col(a).bitwiseXOR(F.col(b)) == 0
+    firsts = marked.groupBy(th, th2).agg(F.min(k).alias("fk")).select("fk", F.col(th).alias("fh"), F.col(th2).alias("fh2"))
+    lead = base.join(firsts, (F.col(k) == F.col("fk")) & same(th, "fh") & same(th2, "fh2"), "left_semi")
+    # with all columns, so that Spark finds the same exchange of the documents here and at the end
+    lead = lead.select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text_col).alias("t"), F.col(th2), *(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col))
+    hits = shared_keys(lead, _anchor_keys(window, anchor), shards)
+    hits = hits.repartition(shards, "owner").groupBy("owner").agg(F.collect_list("key").alias("keys"))
+    found = lead.join(hits, F.col("k") == F.col("owner"))
     pieces = found.mapInArrow(_pieces(window, anchor), "k long, th long, at int, anchor long, piece binary").select("k", "th", "at", "anchor", F.xxhash64("piece").alias("mark"))
     distinct = found.mapInArrow(_distinct(window, anchor), "anchor long, piece binary, owner long")
     ordered = distinct.repartition(shards, "anchor").sortWithinPartitions("anchor", "owner", "piece").select("anchor", F.xxhash64("piece").alias("mark"), "piece", "owner")
-    firsts = ordered.mapInArrow(_first_documents(window, shard_words), "anchor long, mark long, firsts array<long>")
-    spots = pieces.join(firsts, ["anchor", "mark"]).where(F.exists("firsts", lambda x: x < F.col("k")))
+    earliest = ordered.mapInArrow(_first_documents(window, shard_words), "anchor long, mark long, firsts array<long>")
+    spots = pieces.join(earliest, ["anchor", "mark"]).where(F.exists("firsts", lambda x: x < F.col("k")))
     earlier = F.filter(F.transform("firsts", lambda x, i: F.when(x < F.col("k"), F.col("at") + i)), lambda x: x.isNotNull())
-    spans = spots.select("k", "th", earlier.alias("starts")).groupBy("k", "th").agg(F.flatten(F.collect_list("starts")).alias(covered))
-    spans = spans.withColumnsRenamed({"k": sk, "th": sth})
-    joined = base.join(spans, (F.col(k) == F.col(sk)) & (F.col(th) == F.col(sth)), "left").select(*docs.columns, k, th, covered)
+    spans = spots.select(F.col("k").alias("sk"), F.col("th").alias("sh"), earlier.alias("starts")).repartition(shards, "sk").groupBy("sk", "sh").agg(F.flatten(F.collect_list("starts")).alias(covered))
+    told = base.join(firsts.withColumn(copy, F.lit(False)), (F.col(k) == F.col("fk")) & same(th, "fh") & same(th2, "fh2"), "left").drop("fk", "fh", "fh2")
+    joined = told.join(spans, (F.col(k) == F.col("sk")) & same(th, "sh"), "left").select(*docs.columns, F.coalesce(copy, F.lit(True)).alias(copy), covered)
     schema = docs.limit(0).withColumn(name, F.lit(None).cast(DEDUP)).schema
     return joined.mapInArrow(_cut(docs.columns.index(text_col), name, window), schema), name
