@@ -4,8 +4,9 @@
 2. A global order puts rare shingles first: by how often the shingle is held (heavy ones last), then by how common its
    words are, then by hash. Two sets with similarity t share a shingle among the first n - ceil(t n) + 1 of either.
    The counts behind the order only make prefixes selective; any order finds every pair.
-3. ``shared_keys`` drops prefix shingles that one group holds alone.
-4. All groups that share a prefix shingle join the cluster of the smallest of them, so every candidate pair meets in
+   With l more in each prefix they share l + 1. Here l grows with n, so sharing a passage isn't enough.
+3. ``shared_keys`` drops prefix shingles that one group holds alone, and then all groups that share too few.
+4. All remaining groups that share a prefix shingle join the cluster of the smallest of them, so every candidate pair meets in
    a cluster. A cluster's size is summed first; a large one is cut into blocks, and pairs of blocks go to tasks.
 5. A task joins its groups with a prefix index in its own rare-first order, size bounds, and exact intersections. It
    skips pairs that its links so far connect, and returns only links that connect something new.
@@ -81,6 +82,15 @@ def prefix_size(n: np.ndarray) -> np.ndarray:
     return n - -(-n * NUMERATOR // DENOMINATOR) + (n > 0)
 
 
+def in_common(n):
+    """How many shingles two similar sets share in their longer prefixes, the smaller of which has n. For arrays and columns."""
+    return n // 10 if isinstance(n, np.ndarray) else F.floor(n / 10)
+
+
+def long_prefix_size(n: np.ndarray) -> np.ndarray:
+    return prefix_size(n) + np.maximum(in_common(n) - 1, 0)
+
+
 def _profile(k: int):
     def run(batches):
         for batch in batches:
@@ -145,7 +155,7 @@ def _prefixes(k: int, tables):
             order = np.lexsort((value, rank, row))
             row, value = row[order], value[order]
             place = np.arange(len(row)) - np.r_[0, np.cumsum(size)][row]
-            keep = place < prefix_size(size)[row]
+            keep = place < long_prefix_size(size)[row]
             yield value[keep], digest.view(np.int64)[row[keep]]
 
     return extract
@@ -282,10 +292,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return key[order], np.minimum(np.log2(top["n"].to_numpy(dtype=np.float64)), 63).astype(np.uint8)[order]
 
     tables = spark.sparkContext.broadcast((head(0, 64, COMMON_WORDS), head(1, 8, HEAVY_SHINGLES)))
-    hits = written(shared_keys(rows.select("t"), _prefixes(k, tables), shards), "prefixes")
-    pivots = hits.groupBy("key").agg(F.min("owner").alias("pivot"))
-    members = written(hits.join(pivots, "key").select(F.col("owner").alias("g"), "pivot").distinct(), "members")
     groups = profile.where("n > 0").groupBy("g").agg(F.min(F.struct("k", "th")).alias("one"), F.first("n").alias("n"))
+    hits = shared_keys(rows.select("t"), _prefixes(k, tables), shards).repartition(shards, "owner")
+    # the smallest set that a set of n can be similar to has ceil(n * 3 / 4)
+    smallest = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
+    able = hits.groupBy("owner").agg(F.count("*").alias("held")).join(groups.select(F.col("g").alias("owner"), "n"), "owner").where(F.col("held") >= F.greatest(F.lit(1), in_common(smallest))).select(F.col("owner").alias("able"))
+    near = hits.join(able, F.col("owner") == F.col("able")).select("owner", "key").repartition(shards, "key")
+    pivots = near.groupBy("key").agg(F.min("owner").alias("pivot"), F.count("*").alias("held")).where("held > 1").select(F.col("key").alias("pkey"), "pivot")
+    members = written(near.join(pivots, F.col("key") == F.col("pkey")).select(F.col("owner").alias("g"), "pivot").distinct(), "members")
     sized = members.join(groups, "g")
     blocks = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
     placed = sized.join(blocks, "pivot").select("g", "one", F.struct("pivot", "blocks", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int").alias("block")).alias("place"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import free_name
-from .shared import shard_count, shared_keys
+from .shared import cut_keys, shard_count, shared_keys
 from .textops import gram_hashes, hash_words, scan, slices, sliding_argmin
 
 WINDOW = 13
@@ -132,11 +132,11 @@ def _pieces(window: int, k: int):
                     i, j = ends[r], ends[r + 1]
                     if i == j:
                         continue
-                    shared = np.array(lists[a + r].values, dtype=np.int64).view(np.uint64)
+                    shared = np.array(lists[a + r].values, dtype=np.int64)
                     mine = best[i:j]
                     edge = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
                     stop = np.r_[edge[1:], j - i]
-                    keep = np.isin(grams[mine[edge]], shared)
+                    keep = np.isin(cut_keys(grams[mine[edge]]), shared)
                     base = int(np.searchsorted(row, r))
                     for x, y in zip(edge[keep], stop[keep], strict=True):
                         u, v = at[i + x], at[i + y - 1] + window
@@ -257,7 +257,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     base = marked.repartition(shards, k)
     same = lambda a, b: F.col(a).bitwiseXOR(F.col(b)) == 0
     firsts = marked.groupBy(th, th2).agg(F.min(k).alias("fk")).select("fk", F.col(th).alias("fh"), F.col(th2).alias("fh2"))
-    lead = base.join(firsts, (F.col(k) == F.col("fk")) & same(th, "fh") & same(th2, "fh2"), "left_semi")
+    lead = base.join(firsts, (F.col(k) == F.col("fk")) & same(th, "fh") & same(th2, "fh2"))
     # with all columns, so that Spark finds the same exchange of the documents here and at the end
     lead = lead.select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text_col).alias("t"), F.col(th2), *(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col))
     hits = shared_keys(lead, _anchor_keys(window, anchor), shards)
