@@ -34,7 +34,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Words and shingles that the global order knows to be common: fixed sizes of its tables.
 COMMON_WORDS, HEAVY_SHINGLES = 1 << 16, 1 << 18
 #: Shingles of a cluster's block.
-BLOCK_SHINGLES = 1 << 17
+BLOCK_SHINGLES = 1 << 20
 LAST = 2**63 - 1
 
 _U = np.uint64
