@@ -24,7 +24,7 @@ from .workspace import new_folder, remove_folder
 #: Ids in a segment, but for a document that is longer alone.
 SEGMENT = 1 << 20
 #: Characters of the texts that are encoded together.
-TEXT = 1 << 22
+TEXT = 1 << 20
 #: Ids that a task holds before it hands them on.
 HELD = 1 << 21
 
