@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SPACE = r"[ \t\n\x0B\f\r]"
 #: Patterns are the same in Spark's and DuckDB's regular expressions.
 WORDS = r"[^ \t\n\x0B\f\r]+"
 
@@ -18,10 +19,176 @@ def word_count(c: Column) -> Column:
     return F.size(F.regexp_extract_all(or_empty(c), F.lit(WORDS), F.lit(0))).cast("long")
 
 
+def token_estimate(c: Column) -> Column:
+    """A quarter of the characters, rounded half to even, at least 1; 0 for an empty text."""
+    n = F.length(or_empty(c))
+    return F.when(n == 0, 0).otherwise(F.greatest(F.lit(1), F.bround(n / 4, 0).cast("long"))).cast("long")
+
+
+def strip(c: Column) -> Column:
+    return F.regexp_replace(or_empty(c), f"^{SPACE}+|{SPACE}+$", "")
+
+
 def squeeze(c: Column) -> Column:
     """Every run of white space becomes one space, none at the ends."""
-    return F.trim(F.regexp_replace(or_empty(c), r"[ \t\n\x0B\f\r]+", " "))
+    return F.trim(F.regexp_replace(or_empty(c), f"{SPACE}+", " "))
 
 
-def strip(c: Column) -> Column:
-    return F.regexp_replace(or_empty(c), r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$", "")
+def prompt_key(c: Column) -> Column:
+    return F.lower(squeeze(c))
+
+
+def question_key(c: Column) -> Column:
+    """Lower case, letters, digits and underscores only."""
+    return F.regexp_replace(F.lower(or_empty(c)), r"[^a-z0-9_]+", "")
+
+
+def strip_fences(c: Column) -> Column:
+    return strip(F.regexp_replace(F.regexp_replace(or_empty(c), r"(?m)^```(?:json)?\s*", ""), r"(?m)\s*```$", ""))
+
+
+def strip_think(c: Column) -> Column:
+    """Balanced reasoning blocks go, then all up to a lone closing tag, then all from a lone opening tag."""
+    for pattern in (r"(?is)<think>.*?</think>\s*", r"(?is)^.*?</think>\s*", r"(?is)<think>.*$"):
+        c = F.regexp_replace(or_empty(c), pattern, "")
+    return strip(c)
+
+
+def strip_think_exact(c: Column) -> Column:
+    """The client's variant: case matters, white space stays, an open tag too."""
+    for pattern in (r"(?s)<think>.*?</think>", r"(?s)^.*?</think>"):
+        c = F.regexp_replace(or_empty(c), pattern, "")
+    return strip(c)
+
+
+def json_object(c: Column) -> Column:
+    """The text as JSON without its fences, else its widest braces, else null; as a variant."""
+    bare = strip_fences(c)
+    return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.regexp_extract(bare, r"(?s)\{.*\}", 0)))
+
+
+def excerpt(c: Column, limit: int = 800) -> Column:
+    text = squeeze(c)
+    return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.substring(text, 1, limit - 3), F.lit("...")))
+
+
+def length_bin(prompt: Column, completion: Column) -> Column:
+    n = F.length(or_empty(prompt)) + F.length(or_empty(completion))
+    return F.when(n < 500, "short").when(n < 1200, "medium").otherwise("long")
+
+
+#: The axes in order, and the words that name each.
+AXES = (
+    ("troubleshooting", "error|fail|fails|troubleshoot|issue|resolve|fix"),
+    ("deployment", "kubernetes|helm|deploy|deployment|pod|pvc|service|container"),
+    ("api", "endpoint|api|request|response|openai|grpc|http"),
+    ("runtime-profiles", "profile|gpu|vram|fp8|bf16|lora|tensor parallel|throughput"),
+    ("security", "secret|key|token|license|terms|authentication|authorization"),
+    ("observability", "metric|prometheus|grafana|status|logging|trace"),
+)
+DEFAULT_AXIS = "grounded-qa-variation"
+
+
+def coverage_axis(text: Column) -> Column:
+    lower = F.lower(or_empty(text))
+    return F.coalesce(*(F.when(lower.rlike(rf"\b({words})\b"), axis) for axis, words in AXES), F.lit(DEFAULT_AXIS))
+
+
+def slug(c: Column) -> Column:
+    c = F.regexp_replace(F.regexp_replace(or_empty(c), "/", "-"), r"[^A-Za-z0-9._+-]+", "-")
+    c = F.lower(F.regexp_replace(F.regexp_replace(c, "-+", "-"), "^-+|-+$", ""))
+    return F.when(c == "", "unknown").otherwise(c)
+
+
+def metric_name(c: Column) -> Column:
+    c = F.lower(F.regexp_replace(F.regexp_replace(or_empty(c), r"[^A-Za-z0-9]+", "_"), "^_+|_+$", ""))
+    return F.when(c == "", "unknown").otherwise(c)
+
+
+VERSION = r"^(latest|stable|dev|main|nightly|v?[0-9]+([.][0-9]+)+([a-zA-Z0-9.-]*)?|[0-9]{4}-[0-9]{2}-[0-9]{2})$"
+
+
+def url_parts(url: Column) -> Column:
+    """struct(area, version, page): the first segment that looks like a version parts the path."""
+    path = F.regexp_replace(F.regexp_replace(or_empty(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")
+    parts = F.filter(F.split(F.regexp_replace(path, "^/+|/+$", ""), "/"), lambda x: F.lit(True))
+    parts = F.when(F.regexp_replace(path, "^/+|/+$", "") == "", F.array().cast("array<string>")).otherwise(parts)
+    n = F.size(parts)
+    at = F.coalesce(F.array_min(F.filter(F.transform(parts, lambda x, i: F.when(x.rlike(VERSION), i + 1)), lambda x: x.isNotNull())), F.lit(0))
+    join = lambda a: F.array_join(a, "/")
+    area = F.when(at > 0, join(F.slice(parts, F.lit(1), F.greatest(at - 1, F.lit(0))))).when(n <= 1, join(parts)).otherwise(join(F.slice(parts, F.lit(1), F.greatest(n - 1, F.lit(0)))))
+    version = F.when(at > 0, F.try_element_at(parts, F.when(at > 0, at).otherwise(1))).otherwise("")
+    page = F.when(at > 0, join(F.slice(parts, at + 1, F.greatest(n - at, F.lit(0))))).when(n > 1, F.try_element_at(parts, F.lit(-1))).otherwise("")
+    return F.struct(area.alias("area"), version.alias("version"), page.alias("page"))
+
+
+def url_variants(url: Column) -> Column:
+    """The address as it is, without its fragment, and each without a slash at its end; in that order, once each."""
+    bare = F.regexp_replace(url, "#.*$", "")
+    cut = lambda c: F.regexp_replace(c, "/+$", "")
+    return F.array_distinct(F.filter(F.array(url, bare, cut(url), cut(bare)), lambda x: x != ""))
+
+
+def canonical_url(url: Column) -> Column:
+    return F.substring_index(strip(url), "#", 1)
+
+
+def doc_kind(url: Column) -> Column:
+    return F.when(F.lower(F.regexp_replace(or_empty(url), r"[?#].*$", "")).endswith(".pdf"), "pdf").otherwise("html")
+
+
+def split_prompt(prompt: Column) -> Column:
+    """struct(context, question) at the last ``Question:`` line; without one both are the whole text."""
+    marker = r"(?s)^(.*)\nQuestion:(.*)$"
+    has = or_empty(prompt).rlike(marker)
+    part = lambda i: F.when(has, strip(F.regexp_extract(prompt, marker, i))).otherwise(or_empty(prompt))
+    return F.struct(part(1).alias("context"), part(2).alias("question"))
+
+
+NO_CONTEXT = "(no relevant context found)"
+
+
+def context_block(chunks: Column) -> Column:
+    """``[i] url``, a line break and the text of each chunk struct(url, text), parted by a rule."""
+    lines = F.transform(chunks, lambda c, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), c["url"], F.lit("\n"), c["text"]))
+    return F.when(F.size(chunks) == 0, NO_CONTEXT).otherwise(F.array_join(lines, "\n\n---\n\n"))
+
+
+def sft_text(question: Column, answer: Column) -> Column:
+    return F.concat(F.lit("Question: "), or_empty(question), F.lit("\nAnswer: "), or_empty(answer))
+
+
+def clamp_score(c: Column) -> Column:
+    return F.least(F.lit(5), F.greatest(F.lit(1), F.coalesce(c.try_cast("int"), F.lit(0))))
+
+
+def winner(c: Column) -> Column:
+    w = F.upper(strip(c))
+    return F.when(w.isin("A", "B"), w).otherwise("TIE")
+
+
+def winner_side(w: Column, swapped: Column) -> Column:
+    return F.when(w == "TIE", "tie").when((w == "A") != swapped, "left").otherwise("right")
+
+
+def sigmoid(x: Column) -> Column:
+    return 1 / (1 + F.exp(-x))
+
+
+def finite(c: Column) -> Column:
+    x = c.try_cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
+#: Colours of the scores 1 to 5.
+SCORE_COLOURS = ((213, 94, 0), (230, 159, 0), (240, 228, 66), (0, 158, 115), (0, 114, 178))
+
+
+def score_colour(score: Column) -> Column:
+    s = F.least(F.lit(5.0), F.greatest(F.lit(1.0), score))
+    low = F.least(F.floor(s), F.lit(4)).cast("int")
+    t = s - low
+    def channel(k: int) -> Column:
+        a, b = (F.element_at(F.array(*(F.lit(c[k]) for c in SCORE_COLOURS)), low + d) for d in (0, 1))
+        return F.bround(a + (b - a) * t, 0).cast("int").cast("string")
+    return F.concat(F.lit("rgb("), F.concat_ws(",", channel(0), channel(1), channel(2)), F.lit(")"))
