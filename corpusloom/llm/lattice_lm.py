@@ -66,6 +66,7 @@ class Lattice:
         floor = min(pieces.values()) if pieces else -20.0
         self.bytes = [pieces.get(p, floor) for p in byte_pieces()]
         self.longest = max(map(len, [*self.opening, *self.inner, ""]))
+        self.begun = {p[:n] for p in self.inner for n in range(1, len(p) + 1)}
 
     def _char(self, c: str) -> float:
         return sum(self.bytes[b] for b in c.encode("utf-8", "replace"))
@@ -77,9 +78,13 @@ class Lattice:
         for j in range(0, min(n, self.longest) + 1):
             if (s := opening.get(word[:j])) is not None:
                 into[j].append((-1, s))
+        begun, longest = self.begun, self.longest
         for i in range(n):
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                if (s := inner.get(word[i:j])) is not None:
+            for j in range(i + 1, min(n, i + longest) + 1):
+                part = word[i:j]
+                if part not in begun:
+                    break
+                if (s := inner.get(part)) is not None:
                     into[j].append((i, s))
             if word[i] not in inner:
                 into[i + 1].append((i, self._char(word[i])))
@@ -90,14 +95,19 @@ class Lattice:
     def forward(self, into: list[list[tuple[int, float]]]) -> list[float]:
         """Log of the summed probability of all ways to reach each position."""
         out = [_NEVER] * len(into)
-        exp, log = math.exp, math.log
+        exp, log1p = math.exp, math.log1p
         for j, arcs in enumerate(into):
-            terms = [s if i < 0 else out[i] + s for i, s in arcs if i < 0 or out[i] > _NEVER]
-            if len(terms) == 1:
-                out[j] = terms[0]
-            elif terms:
-                top = max(terms)
-                out[j] = top + log(sum([exp(t - top) for t in terms]))
+            total = _NEVER
+            for i, s in arcs:
+                if i >= 0:
+                    s += out[i]
+                if total <= _NEVER:
+                    total = s
+                elif s > total:
+                    total = s + log1p(exp(total - s))
+                elif s > total - 40:
+                    total += log1p(exp(s - total))
+            out[j] = total
         return out
 
     def log_probability(self, word: str) -> float:
@@ -277,9 +287,19 @@ def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str
     ends = rows.where("train").count()
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = (sums.n or 0) + ends, sums.v + (ends > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(head_words).collect()  # a fixed number of words
+    # classes of frequency, as many from the top as stay within the fixed number of words
+    level = F.floor(F.log2("c") * 8)
+    held, least = 0, None
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+        held += r["count"]
+        if held > head_words:
+            break
+        least = r.level
+    frequent = level >= least if least is not None else F.lit(False)
+    top = counts.where(frequent).collect()
     pieces = read_pieces(vocabulary)
-    first = counts.orderBy(F.xxhash64("word"), "word").limit(START_WORDS).collect()  # a fixed number of words
+    share = F.pmod(F.xxhash64("word"), F.lit(max(1, sums.v))) < START_WORDS  # about so many words, of however many
+    first = counts.where(share).collect()
     for _ in range(START_ROUNDS if first else 0):
         lattice, got = Lattice(pieces), {}
         for r in first:
@@ -291,10 +311,9 @@ def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str
         pieces = reestimated(pieces, {r.piece: r.n for r in got})
     model = spark.sparkContext.broadcast((pieces, n, v, ends))
     head = spark.sparkContext.broadcast(([bytes(r.word) for r in top], [r.c for r in top]))
-    least = top[-1].c if len(top) == head_words else 1
     parts = written(rows.select("k", "th", "t").mapInArrow(_known_part(model, head), _ROWS), "word-scores")
     tail = parts.where("word is not null").select("word", "k", "th", "n")
-    rest = counts.where(F.col("c") <= least).select("word", F.lit(None).cast("long").alias("k"), F.lit(None).cast("long").alias("th"), F.col("c").alias("n"))
+    rest = counts.where(~frequent).select("word", F.lit(None).cast("long").alias("k"), F.lit(None).cast("long").alias("th"), F.col("c").alias("n"))
     met = tail.unionByName(rest).repartition(shards, "word").sortWithinPartitions("word", F.asc_nulls_first("k"))
     rare = met.mapInArrow(_rare_part(model), "k long, th long, known long, base double, score double")
     whole = parts.where("word is null").select("k", "th", "known", "base", "score", "tokens", F.lit(1).alias("copies"))
