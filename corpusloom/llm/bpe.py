@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Pieces that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 #: Pieces that the library encodes in one text.
 JOINED = 20_000
 
@@ -57,6 +57,8 @@ def take(blob: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class BytePairs:
     """Encoder and decoder of one vocabulary file in the tokenizers library's JSON form."""
 
+    remembered = REMEMBERED
+
     def __init__(self, source: bytes):
         spec = json.loads(source)
         letter = {c: b for b, c in enumerate(byte_letters())}
@@ -193,7 +195,7 @@ class BytePairs:
             for word in self._pretokens(piece):
                 if (known := self.words.get(word)) is None:
                     known = self.encode_word(word.encode())
-                    if len(self.words) < REMEMBERED:
+                    if len(self.words) < self.remembered:
                         self.words[word] = known
                 ids += known
             yield ids
@@ -231,7 +233,7 @@ class BytePairs:
         self.learn(new)
         chosen = np.array(list(map(self.codes.__getitem__, every)), dtype=np.int64)
         flat, first, count = self.flat, self.first, self.count
-        if len(self.codes) > REMEMBERED:  # frequent pieces came early; the rest isn't kept
+        if len(self.codes) > self.remembered:  # frequent pieces came early; the rest isn't kept
             for piece in new:
                 del self.codes[piece]
             self.first, self.count, self.flat = first[:pieces], count[:pieces], flat[:ids_before]
@@ -307,7 +309,7 @@ def text_groups(texts: list[str], most: int = 1 << 20) -> Iterable[tuple[int, in
         yield a, len(texts)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """(id, ids binary: little-endian unsigned 32-bit, n_tokens long, ids_sha256 string, decoded string) of every row.
 
     ids_sha256 is of the decimal ids joined by commas.
@@ -322,6 +324,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
         coder = None
         for batch in batches:
             coder = coder or worker_coder(BytePairs, source.value)
+            coder.remembered = remembered
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in text_groups(texts):
                 ids, counts = coder.encode(texts[a:b])

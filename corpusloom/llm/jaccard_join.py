@@ -299,7 +299,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     able = hits.groupBy("owner").agg(F.count("*").alias("held")).join(groups.select(F.col("g").alias("owner"), "n"), "owner").where(F.col("held") >= F.greatest(F.lit(1), in_common(smallest))).select(F.col("owner").alias("able"))
     near = hits.join(able, F.col("owner") == F.col("able")).select("owner", "key").repartition(shards, "key")
     pivots = near.groupBy("key").agg(F.min("owner").alias("pivot"), F.count("*").alias("held")).where("held > 1").select(F.col("key").alias("pkey"), "pivot")
-    members = written(near.join(pivots, F.col("key") == F.col("pkey")).select(F.col("owner").alias("g"), "pivot").distinct(), "members")
+    members = written(near.join(pivots, F.col("key") == F.col("pkey")).groupBy(F.col("owner").alias("g"), "pivot").agg(F.count("*").alias("held")), "members")
+    # once more, over what the groups left share with each other
+    still = members.groupBy("g").agg(F.sum("held").alias("held")).join(groups.select(F.col("g").alias("sg"), "n"), F.col("g") == F.col("sg")).where(F.col("held") >= F.greatest(F.lit(1), in_common(smallest))).select("sg")
+    members = members.join(still, F.col("g") == F.col("sg")).select("g", "pivot")
     sized = members.join(groups, "g")
     blocks = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
     placed = sized.join(blocks, "pivot").select("g", "one", F.struct("pivot", "blocks", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int").alias("block")).alias("place"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Keys that a map task packs at a time; bounds its memory.
-PACK = 1 << 20
+PACK = 1 << 19
 
 _PACKED = "shard int, owners binary, holder binary, keys binary, ones int, known int"
 
