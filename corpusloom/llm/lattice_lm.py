@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
 
+import ahocorasick
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
@@ -36,6 +38,7 @@ LAST = 2**63 - 1
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _NEVER = -1e300
+_MARK = "▁"
 LOG10 = math.log(10)
 
 
@@ -59,83 +62,96 @@ def byte_pieces() -> list[str]:
 
 
 class Lattice:
+    """Pieces in an automaton that finds, in one pass over a word, every piece that ends at each character.
+
+    A word is read with a mark before it, which opening pieces begin with. Words with that mark inside or characters that
+    no piece spells (these go as bytes) are rare and have their arcs listed one by one.
+    """
+
     def __init__(self, pieces: dict[str, float]):
         spelt = {p: s for p, s in pieces.items() if not (len(p) == 6 and p.startswith("<0x"))}
-        self.opening = {p[1:]: s for p, s in spelt.items() if p[:1] == "▁" and "▁" not in p[1:]}
-        self.inner = {p: s for p, s in spelt.items() if "▁" not in p}
+        self.opening = {p[1:]: s for p, s in spelt.items() if p[:1] == _MARK and _MARK not in p[1:]}
+        self.inner = {p: s for p, s in spelt.items() if _MARK not in p}
         floor = min(pieces.values()) if pieces else -20.0
         self.bytes = [pieces.get(p, floor) for p in byte_pieces()]
         self.longest = max(map(len, [*self.opening, *self.inner, ""]))
-        self.begun = {p[:n] for p in self.inner for n in range(1, len(p) + 1)}
-
-    def _char(self, c: str) -> float:
-        return sum(self.bytes[b] for b in c.encode("utf-8", "replace"))
-
-    def arcs(self, word: str) -> list[list[tuple[int, float]]]:
-        """For each position, the arcs that end there: (where they start, or -1 before the opening, score)."""
+        self.single = {p for p in self.inner if len(p) == 1}
+        self.found = ahocorasick.Automaton()
+        for p, s in (*((_MARK + p, s) for p, s in self.opening.items()), *self.inner.items()):
+            if p:
+                self.found.add_word(p, (len(p), s, p))
+        if len(self.found):
+            self.found.make_automaton()
+        self.plain = bool(len(self.found)) and "" in self.opening
+
+    def arcs(self, word: str) -> list[tuple[int, tuple[int, float, str]]]:
+        """(position where an arc ends, (its length, score, piece)) in ascending order of position.
+
+        An arc starts at its end less its length, which is -1 before the word. A piece "" is a character by its bytes.
+        """
+        if self.plain and self.single.issuperset(word):
+            return list(self.found.iter(_MARK + word))
         n, opening, inner = len(word), self.opening, self.inner
-        into: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for j in range(0, min(n, self.longest) + 1):
-            if (s := opening.get(word[:j])) is not None:
-                into[j].append((-1, s))
-        begun, longest = self.begun, self.longest
-        for i in range(n):
-            for j in range(i + 1, min(n, i + longest) + 1):
-                part = word[i:j]
-                if part not in begun:
-                    break
-                if (s := inner.get(part)) is not None:
-                    into[j].append((i, s))
-            if word[i] not in inner:
-                into[i + 1].append((i, self._char(word[i])))
-        if not into[0]:
-            into[0].append((-1, self.bytes[0]))
-        return into
-
-    def forward(self, into: list[list[tuple[int, float]]]) -> list[float]:
+        out = []
+        for j in range(n + 1):
+            if j <= self.longest and (s := opening.get(word[:j])) is not None:
+                out.append((j, (j + 1, s, _MARK + word[:j])))
+            for i in range(max(0, j - self.longest), j):
+                if (s := inner.get(word[i:j])) is not None:
+                    out.append((j, (j - i, s, word[i:j])))
+            if j and word[j - 1] not in inner:
+                out.append((j, (1, sum(self.bytes[b] for b in word[j - 1].encode("utf-8", "replace")), "")))
+            if not j and not out:
+                out.append((0, (1, self.bytes[0], _MARK)))
+        return out
+
+    def forward(self, n: int, arcs: Iterable[tuple[int, tuple[int, float, str]]]) -> list[float]:
         """Log of the summed probability of all ways to reach each position."""
-        out = [_NEVER] * len(into)
+        out = [_NEVER] * (n + 1)
         exp, log1p = math.exp, math.log1p
-        for j, arcs in enumerate(into):
-            total = _NEVER
-            for i, s in arcs:
-                if i >= 0:
-                    s += out[i]
-                if total <= _NEVER:
-                    total = s
-                elif s > total:
-                    total = s + log1p(exp(total - s))
-                elif s > total - 40:
-                    total += log1p(exp(s - total))
-            out[j] = total
+        for j, (length, s, _) in arcs:
+            if j >= length:
+                s += out[j - length]
+            total = out[j]
+            if total <= _NEVER:
+                out[j] = s
+            elif s > total:
+                out[j] = s + log1p(exp(total - s))
+            elif s > total - 40:
+                out[j] = total + log1p(exp(s - total))
         return out
 
     def log_probability(self, word: str) -> float:
-        return self.forward(self.arcs(word))[-1]
+        return self.forward(len(word), self.arcs(word))[-1]
 
     def expect(self, word: str, weight: float, into_counts: dict[str, float]) -> None:
         """Add the expected count of every piece in the word's segmentations."""
-        into = self.arcs(word)
-        ahead = self.forward(into)
-        n, total = len(word), ahead[-1]
-        back = [_NEVER] * (n + 1)
+        arcs = self.arcs(word)
+        n = len(word)
+        ahead = self.forward(n, arcs)
+        total, back = ahead[-1], [_NEVER] * (n + 1)
         back[n] = 0.0
-        for j in range(n, -1, -1):
-            if back[j] <= _NEVER:
+        exp, log1p = math.exp, math.log1p
+        for j, (length, s, piece) in reversed(arcs):
+            way = back[j]
+            if way <= _NEVER:
                 continue
-            for i, s in into[j]:
-                share = math.exp((s if i < 0 else ahead[i] + s) + back[j] - total) * weight
-                if i < 0:
-                    into_counts["▁" + word[:j]] = into_counts.get("▁" + word[:j], 0.0) + share
-                else:
-                    piece = word[i:j]
-                    if piece in self.inner:
-                        into_counts[piece] = into_counts.get(piece, 0.0) + share
-                    else:
-                        for b in piece.encode("utf-8", "replace"):
-                            into_counts[f"<0x{b:02X}>"] = into_counts.get(f"<0x{b:02X}>", 0.0) + share
-                    way = s + back[j]
-                    back[i] = way if back[i] <= _NEVER else max(back[i], way) + math.log1p(math.exp(-abs(back[i] - way)))
+            way += s
+            i = j - length
+            share = exp((way if i < 0 else ahead[i] + way) - total) * weight
+            if piece:
+                into_counts[piece] = into_counts.get(piece, 0.0) + share
+            else:
+                for b in word[i:j].encode("utf-8", "replace"):
+                    into_counts[f"<0x{b:02X}>"] = into_counts.get(f"<0x{b:02X}>", 0.0) + share
+            if i >= 0:
+                before = back[i]
+                if before <= _NEVER:
+                    back[i] = way
+                elif way > before:
+                    back[i] = way + log1p(exp(before - way))
+                elif way > before - 40:
+                    back[i] = before + log1p(exp(way - before))
 
 
 def reestimated(pieces: dict[str, float], counts: dict[str, float]) -> dict[str, float]:
