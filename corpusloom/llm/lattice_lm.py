@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterable
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
@@ -230,13 +231,16 @@ def _known_part(model, head):
         seen: dict[bytes, tuple[float, float]] = {}
         for batch in batches:
             ks, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out: list[list] = [[] for _ in range(8)]
+            docs: list[tuple] = []
+            words: list[bytes] = []
+            times: list[int] = []
             for k, th, text in zip(ks, ths, batch.column(2), strict=True):
                 held = Counter(words_of(text.as_buffer().to_pybytes())) if text.is_valid else {}
                 known = total = 1
                 base, score = own.end_base, own.end_score
                 if not own.n:
                     known = 0
+                before = len(words)
                 for word, n in held.items():
                     total += n
                     if (c := table.get(word)) is not None:
@@ -246,21 +250,33 @@ def _known_part(model, head):
                         base += n * got[0]
                         score += n * got[1]
                     else:
-                        for cells, v in zip(out, (k, th, word, n, 0, 0.0, 0.0, 0), strict=True):
-                            cells.append(v)
-                for cells, v in zip(out, (k, th, None, 0, known, base, score, total), strict=True):
-                    cells.append(v)
-                if len(out[0]) >= 50_000:
-                    yield _batch(out)
-                    out = [[] for _ in range(8)]
-            yield _batch(out)
+                        words.append(word)
+                        times.append(n)
+                docs.append((k, th, known, base, score, total, len(words) - before))
+                if len(words) + len(docs) >= 50_000:
+                    yield _batch(docs, words, times)
+                    docs, words, times = [], [], []
+            if docs:
+                yield _batch(docs, words, times)
 
     return run
 
 
-def _batch(out: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], names=["k", "th", "word", "n", "known", "base", "score", "tokens"])
+def _batch(docs: list[tuple], words: list[bytes], times: list[int]) -> pa.RecordBatch:
+    """A row for each document, then one for each of its other words."""
+    k, th, known, base, score, total, other = (np.array(x) for x in zip(*docs, strict=True))
+    none = np.zeros(len(words), dtype=np.int64)
+    cells = (
+        np.r_[k, np.repeat(k, other)],
+        np.r_[th, np.repeat(th, other)],
+        pa.array([None] * len(docs) + words, type=pa.binary()),
+        np.r_[np.zeros(len(docs), dtype=np.int64), np.array(times, dtype=np.int64)],
+        np.r_[known, none],
+        np.r_[base, none.astype(np.float64)],
+        np.r_[score, none.astype(np.float64)],
+        np.r_[total, none],
+    )
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["k", "th", "word", "n", "known", "base", "score", "tokens"])
 
 
 def _rare_part(model):
@@ -270,7 +286,7 @@ def _rare_part(model):
         own = Model(*model.value)
         now, c, base, score = None, 0, 0.0, None
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
+            out = ks, ths, knowns, bases, scores = [], [], [], [], []
             for word, k, th, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if word != now:
                     now, c, score = word, 0, None
@@ -281,8 +297,11 @@ def _rare_part(model):
                     continue
                 if score is None:
                     score = own.score(word, c)
-                for cells, v in zip(out, (k, th, n if c else 0, n * base, n * score), strict=True):
-                    cells.append(v)
+                ks.append(k)
+                ths.append(th)
+                knowns.append(n if c else 0)
+                bases.append(n * base)
+                scores.append(n * score)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(out, kinds, strict=True)], names=["k", "th", "known", "base", "score"])
 
