@@ -31,8 +31,8 @@ from .workspace import written
 DISCOUNT = 0.5
 #: Words whose counts every task holds.
 HEAD_WORDS = 1 << 17
-#: Distinct words for the first rounds of estimation; a last round covers all.
-START_WORDS, START_ROUNDS = 20_000, 3
+#: Rounds of estimation, each over all distinct training words.
+ROUNDS = 4
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 300_000
 LAST = 2**63 - 1
@@ -333,14 +333,7 @@ def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str
     frequent = level >= least if least is not None else F.lit(False)
     top = counts.where(frequent).collect()
     pieces = read_pieces(vocabulary)
-    share = F.pmod(F.xxhash64("word"), F.lit(max(1, sums.v))) < START_WORDS  # about so many words, of however many
-    first = counts.where(share).collect()
-    for _ in range(START_ROUNDS if first else 0):
-        lattice, got = Lattice(pieces), {}
-        for r in first:
-            lattice.expect(bytes(r.word).decode("utf-8", "replace"), 1.0, got)
-        pieces = reestimated(pieces, got)
-    if first:
+    for _ in range(ROUNDS if sums.v else 0):
         shared = spark.sparkContext.broadcast(pieces)  # a vocabulary's pieces, whatever the corpus
         got = counts.select("word").mapInArrow(_expected(shared), "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
         pieces = reestimated(pieces, {r.piece: r.n for r in got})

@@ -92,6 +92,25 @@ def test_lm_of_nothing(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)]
 
 
+def test_lm_learns_pieces_from_all_words(spark):
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice("abcdeilmnorstu") for _ in range(rng.randint(2, 7))) for _ in range(45_000)})
+    assert len(words) > 22_000
+    texts = [(i, " ".join(words[i::50])) for i in range(50)]
+    probe = ["zzyzx", "thndha", "stone"]
+    docs = spark.createDataFrame([*texts, *((100 + i, w) for i, w in enumerate(probe))], "doc_id long, text string").repartition(4)
+    score = {r.doc_id: r.score for r in score_documents(docs, F.col("doc_id") < 100, PIECES).where("doc_id >= 100").collect()}
+    pieces = lattice_lm.read_pieces(PIECES)
+    for _ in range(4):
+        lattice, counts = Lattice(pieces), {}
+        for w in words:
+            lattice.expect(w, 1.0, counts)
+        pieces = lattice_lm.reestimated(pieces, counts)
+    model = lattice_lm.Model(pieces, len(words) + 50, len(words) + 1, 50)
+    for i, w in enumerate(probe):
+        assert score[100 + i] == pytest.approx(model.score(w.encode(), int(w in set(words))) + model.end_score, abs=1e-6)
+
+
 def test_lm_prefers_held_out_text_to_shuffled_letters(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
