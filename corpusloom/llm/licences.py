@@ -1,11 +1,14 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line of a text. Its words, in lower case with digits as ``#``, give hashed 1- to 3-word features to a
+A paragraph is a run of non-blank lines, or a line where a text has only one such run. Notices are searched in the whole
+run, across its line breaks. Words, in lower case with digits as ``#``, give hashed 1- to 3-word features to a
 multinomial logistic regression over the licence families and a class for everything else. It is trained here on variations
 of the templates (cut, embedded, with words lost or foreign words around them) and, for the class "none", on foreign words and on
-shuffled template words. A temperature fitted on held-back variations calibrates its probabilities. A family counts
-if it is the likeliest, its probability is at least ``SURE``, and a template of it is confirmed: enough of the template's
-words, in its order, stand in the paragraph.
+shuffled template words. A temperature fitted on held-back variations calibrates its probabilities. A template is
+confirmed where enough of its words, in its order, stand in a line, or within a window of ``SPREAD`` times its length
+anywhere in the run. Its family counts if it is the likeliest for that line, or for the words from the template's first to its
+last, with a probability of at least ``SURE``. So a paragraph can hold several families; where two claim the same
+words, the one whose template fits with fewer words lost or added has them.
 """
 
 from __future__ import annotations
@@ -13,6 +16,9 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from bisect import bisect_right
+from collections import Counter
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +47,8 @@ WIDTH = 1 << 16
 SURE = 0.6
 #: Share of a template's words, in order, that confirm it.
 MATCH = 0.7
+#: A template's words stand within so many times its length, if not in one line.
+SPREAD = 2
 
 _CUT = bytes(b + 32 if 65 <= b <= 90 else 35 if 48 <= b <= 57 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _SQUEEZE = re.compile(rb"#+")
@@ -55,16 +63,52 @@ def features(words: list[bytes]) -> list[int]:
     return sorted({zlib.crc32(g) % WIDTH for g in grams})
 
 
-def in_order(template: list[bytes], words: list[bytes]) -> float:
-    """Share of the template's words in the longest common subsequence with the paragraph's words."""
-    row = [0] * (len(template) + 1)
-    for w in words:
-        left = 0
+def best_span(template: list[bytes], words: list[tuple[int, bytes]]) -> tuple[int, int, int]:
+    """How long the longest common subsequence with (place, word) is, and the places of its first and last word."""
+    row = [(0, -1)] * (len(template) + 1)
+    best = (0, -1, -1)
+    for at, w in words:
+        left = row[0]
         for i, t in enumerate(template):
             up = row[i + 1]
-            row[i + 1] = left + 1 if w == t else max(up, row[i])
+            row[i + 1] = (left[0] + 1, left[1] if left[0] else at) if w == t else max(up, row[i])
             left = up
-    return row[-1] / len(template)
+        if row[-1][0] > best[0]:
+            best = (*row[-1], at)
+    return best
+
+
+def in_order(template: list[bytes], words: list[bytes]) -> float:
+    """Share of the template's words in the longest common subsequence with the paragraph's words."""
+    return best_span(template, list(enumerate(words)))[0] / len(template)
+
+
+def spans(template: list[bytes], words: list[bytes]) -> list[tuple[int, int, int]]:
+    """Every ``best_span`` that confirms the template within its window, one after the other."""
+    need, width, own = MATCH * len(template), SPREAD * len(template), Counter(template)
+    seq = [(i, w) for i, w in enumerate(words) if w in own]
+    out: list[tuple[int, int, int]] = []
+    held: Counter[bytes] = Counter()
+    a = cover = 0
+    for e, (at, w) in enumerate(seq):
+        held[w] += 1
+        cover += held[w] <= own[w]
+        while seq[a][0] <= at - width or (out and seq[a][0] <= out[-1][2] and a < e):
+            cover -= held[seq[a][1]] <= own[seq[a][1]]
+            held[seq[a][1]] -= 1
+            a += 1
+        if cover < need or (out and at <= out[-1][2]):
+            continue
+        got = best_span(template, seq[a : e + 1])
+        if got[0] >= need:
+            b = a
+            while seq[b][0] < got[1]:
+                b += 1
+            c = e + 1
+            while c < len(seq) and seq[c][0] < got[1] + width:
+                c += 1
+            out.append(best_span(template, seq[b:c]))
+    return out
 
 
 class LicenceModel:
@@ -138,6 +182,57 @@ class LicenceModel:
             return name, float(p[best])
         return NONE, float(p[0])
 
+    def possible(self, words: set[bytes]) -> list[tuple[str, list[bytes]]]:
+        """The templates with enough of their words among these, in whatever order."""
+        if len(self.rare.intersection(words)) < 2:
+            return []
+        return [(f, t) for f, ts in self.templates.items() for t in ts if sum(w in words for w in t) >= MATCH * len(t)]
+
+    def notices(self, lines: list[bytes]) -> list[tuple[int, str, float]]:
+        """(line where it begins, family, probability) of each notice in neighbouring lines."""
+        cut = [words_of(x) for x in lines]
+        words = [w for x in cut for w in x]
+        starts = [0, *accumulate(map(len, cut))]
+        claims = []
+
+        def claim(family, p, template, found):
+            n, first, last = found
+            claims.append(((len(template) - n + last - first + 1 - n) / len(template), -n, first, last, family, p))
+
+        every = self.possible(set(words))
+        for line, own, start in zip(lines, cut, starts, strict=False):
+            if every and self.possible(set(own)):
+                family, p = self.classify(line)
+                for t in self.templates.get(family, ()):
+                    got = best_span(t, list(enumerate(own, start)))
+                    if got[0] >= MATCH * len(t):
+                        claim(family, p, t, got)
+        for family, t in every:
+            for got in spans(t, words):
+                inside = words[got[1] : got[2] + 1]
+                if len(self.rare.intersection(inside)) >= 2:
+                    p = self.probabilities(features(inside))
+                    if self.names[int(p.argmax())] == family and p.max() >= SURE:
+                        claim(family, float(p.max()), t, got)
+        held: list[tuple] = []
+        for c in sorted(claims):
+            if not any(c[2] <= h[3] and h[2] <= c[3] for h in held):
+                held.append(c)
+        return sorted((bisect_right(starts, c[2]) - 1, c[4], c[5]) for c in held)
+
+    def scan(self, text: bytes) -> tuple[int, list[tuple[int, str, float]]]:
+        """How many paragraphs, and (first line, family, probability) of each family in each that holds one."""
+        lines = text.split(b"\n")
+        runs = [[i for i, _ in g] for blank, g in groupby(enumerate(lines), lambda x: not x[1] or x[1].isspace()) if not blank]
+        n = len(runs) if len(runs) > 1 else sum(map(len, runs))
+        found: dict[tuple[int, str], float] = {}
+        if self.possible(set(words_of(text))):
+            for run in runs:
+                for line, family, p in self.notices([lines[i] for i in run]):
+                    place = (run[0] if len(runs) > 1 else run[line], family)
+                    found[place] = max(p, found.get(place, 0.0))
+        return n, [(i, family, p) for (i, family), p in sorted(found.items())]
+
 
 SCAN = "struct<n_paragraphs:long,found:array<struct<paragraph:long,family:string,probability:double>>>"
 
@@ -145,7 +240,8 @@ SCAN = "struct<n_paragraphs:long,found:array<struct<paragraph:long,family:string
 def scan_licences(docs: DataFrame, text_col: str = "text", model: LicenceModel | None = None, name: str = "licences") -> tuple[DataFrame, str]:
     """The documents with a struct column added, and its name: paragraphs, and those that hold a licence.
 
-    Null and empty texts have no paragraphs; blank lines are none. Paragraphs are numbered from 0 as lines are. Repeated rows
+    Null and empty texts have no paragraphs; blank lines are none. A paragraph's number is that of its first line, from 0,
+    and of a notice over several lines that are paragraphs, that of the first. A paragraph has an entry for each family in it. Repeated rows
     are scanned alike; a clashing column name gets underscores.
     """
     name = free_name(docs, name)
@@ -154,18 +250,10 @@ def scan_licences(docs: DataFrame, text_col: str = "text", model: LicenceModel |
 
     def make():
         own = shipped.value
-        # what any confirmed paragraph must hold: one of the rarer template words
-        hint = re.compile(b"|".join(sorted({re.escape(w) for w in own.rare if len(w) > 2 and b"#" not in w})), re.I)
 
         def scan(text: bytes) -> dict:
-            lines = text.split(b"\n")
-            found = []
-            for i, line in enumerate(lines):
-                if hint.search(line):
-                    family, p = own.classify(line)
-                    if family != NONE:
-                        found.append({"paragraph": i, "family": family, "probability": p})
-            return {"n_paragraphs": sum(not x.isspace() for x in lines if x), "found": found}
+            n, found = own.scan(text)
+            return {"n_paragraphs": n, "found": [{"paragraph": i, "family": f, "probability": p} for i, f, p in found]}
 
         return lambda texts: pa.array([scan(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in texts], type=kind)
 

@@ -218,3 +218,34 @@ def test_licences_in_text(spark):
     assert [(x.paragraph, x.family) for x in rows[1].found] == [(2, "apache")] and rows[1].n_paragraphs == 2
     assert rows[2].n_paragraphs == rows[3].n_paragraphs == 0 and not rows[None].found
     assert scan_licences(docs.limit(0), model=model)[0].collect() == []
+
+
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n 1. Redistributions of source code must retain the above copyright\n    notice, this list of conditions and the following disclaimer."
+GPL = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version."
+
+
+@pytest.mark.parametrize("around", ["{}", "xu vobe\n\n{}\n\nter mo", "xu vobe ter\n{}\nter mo li"])
+def test_licences_across_lines(around):
+    model = LicenceModel()
+    lgpl = GPL.replace("GNU General", "GNU Lesser General")
+    for text, family in ((MIT, "mit"), (BSD, "bsd"), (GPL, "gpl"), (lgpl, "lgpl")):
+        assert {f for _, f, _ in model.scan(around.format(text).encode())[1]} == {family}, text
+    for text in ("the license\nof the\nversion", "under the terms of\nthe public, and\nsoftware source"):
+        assert model.scan(around.format(text).encode())[1] == []
+
+
+def test_licences_of_two_families():
+    model = LicenceModel()
+    both = b"Released under the MIT License, or Licensed under the Apache License, Version 2.0, as you like."
+    assert [(i, f) for i, f, _ in model.scan(b"xu\n\n" + both)[1]] == [(2, "apache"), (2, "mit")]
+    texts = {"mit": MIT, "bsd": BSD, "gpl": GPL}
+    n, found = model.scan("\n\n".join(texts.values()).encode())
+    assert n == 3 and [f for _, f, _ in found] == list(texts)
+
+
+def test_licences_one_line_as_before():
+    model = LicenceModel()
+    for family, ts in TEMPLATES.items():
+        for t in ts:
+            assert [f for _, f, _ in model.scan(f"xu vobe {t}. ter".encode())[1]] == [family], t
