@@ -8,15 +8,21 @@
 3. ``shared_keys`` drops prefix shingles that one group holds alone, and then all groups that share too few.
 4. All remaining groups that share a prefix shingle join the cluster of the smallest of them, so every candidate pair meets in
    a cluster. A cluster's size is summed first; a large one is cut into blocks, and pairs of blocks go to tasks.
-5. A task joins its groups with a prefix index in its own rare-first order, size bounds, and exact intersections. It
-   skips pairs that its links so far connect, and returns only links that connect something new.
-6. Links are closed to components over the groups, and the documents of a group follow it.
+5. A task joins its groups with a prefix index in its own rare-first order, size bounds, and exact intersections of all
+   candidate pairs. It returns how many documents each group's links reach, and the links that connect something new. A
+   pair that meets in several clusters counts in the one of the smallest pivot.
+6. Links are closed to components over the groups, and the documents of a group follow it. A document has a link to each
+   document of a linked group and to each other one of its own.
+
+All links of a large group of near copies are as many as its square, so they are counted where they are found, not returned.
 
 Shingles are compared by 64-bit hashes, within candidate pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -162,7 +168,7 @@ def _prefixes(k: int, tables):
 
 
 def _sets(k: int):
-    """Each (cluster, block pair) of a row gets the row's set."""
+    """Each (cluster, block pair) of a row gets the row's set, with its group's copies and smaller pivots."""
 
     def run(batches):
         for batch in batches:
@@ -170,16 +176,19 @@ def _sets(k: int):
                 row, value, _, _ = shingles(raw, off, k)
                 row, value, _ = distinct_sets(row, value)
                 ends = np.searchsorted(row, np.arange(b - a + 1))
-                out: list[list] = [[], [], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], [], [], []]
                 for r in range(b - a):
                     mine = value[ends[r] : ends[r + 1]].tobytes()
                     g = batch.column(1)[a + r].as_py()
-                    for x in batch.column(2)[a + r].as_py():
+                    copies = batch.column(3)[a + r].as_py()
+                    places = sorted(batch.column(2)[a + r].as_py(), key=lambda x: x["pivot"])
+                    pivots = np.array([x["pivot"] for x in places], dtype=np.int64)
+                    for p, x in enumerate(places):
                         for other in range(x["blocks"]):
-                            for cells, v in zip(out, (x["pivot"], min(other, x["block"]), max(other, x["block"]), x["block"], g, mine), strict=True):
+                            for cells, v in zip(out, (x["pivot"], min(other, x["block"]), max(other, x["block"]), x["block"], g, copies, pivots[:p].tobytes(), mine), strict=True):
                                 cells.append(v)
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], names=["pivot", "i", "j", "block", "g", "members"])
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], names=["pivot", "i", "j", "block", "g", "copies", "pivots", "members"])
 
     return run
 
@@ -202,9 +211,18 @@ class Links:
             y = z
         return y
 
+    def join(self, x: int, near: np.ndarray) -> list[tuple[int, int]]:
+        """Join x with all of these; the links that connected something new."""
+        out = []
+        for y in near[self.roots(near) != self.root(x)].tolist():
+            if (a := self.root(y)) != (b := self.root(x)):
+                self.up[max(a, b)] = min(a, b)
+                out.append((x, y))
+        return out
 
-def connect(sets: list[np.ndarray], block: np.ndarray, crossing: bool) -> list[tuple[int, int]]:
-    """Links between similar sets (with ``crossing``, of different blocks) that connect as all links would."""
+
+def similar(sets: list[np.ndarray], block: np.ndarray, crossing: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(a set, the sets before it in order of size that are similar): every pair once (with ``crossing``, of different blocks)."""
     n = len(sets)
     size = np.array([len(s) for s in sets], dtype=np.int64)
     order = np.argsort(size, kind="stable")
@@ -221,7 +239,6 @@ def connect(sets: list[np.ndarray], block: np.ndarray, crossing: bool) -> list[t
     posting = owner[first][by]
     at = np.searchsorted(token[first][by], np.arange(len(values) + 1))
     marked = np.zeros(len(values), dtype=bool)
-    links, out = Links(n), []
     for x in range(n):
         head = token[ends[x] : ends[x] + prefix_size(size[x : x + 1])[0]]
         near = posting[take_rows(at[head], at[head + 1] - at[head])]
@@ -230,54 +247,81 @@ def connect(sets: list[np.ndarray], block: np.ndarray, crossing: bool) -> list[t
             near = near[block[near] != block[x]]
         if not len(near):
             continue
-        near, often = np.unique(near, return_counts=True)
-        near = near[np.argsort(-often, kind="stable")]
+        near = np.unique(near)
         mine = token[ends[x] : ends[x + 1]]
         marked[mine] = True
-        step = 8
-        while len(near):
-            near = near[links.roots(near) != links.root(x)]
-            part, near = near[:step], near[step:]
-            step *= 4
-            if not len(part):
-                break
-            inside = np.r_[0, np.cumsum(marked[token[take_rows(ends[part], size[part])]])]
-            stop = np.cumsum(size[part])
-            both = inside[stop] - inside[stop - size[part]]
-            for y in part[both * DENOMINATOR >= (size[part] + size[x] - both) * NUMERATOR]:
-                if (a := links.root(int(y))) != (b := links.root(x)):
-                    links.up[max(a, b)] = min(a, b)
-                    out.append((int(order[x]), int(order[y])))
+        inside = np.r_[0, np.cumsum(marked[token[take_rows(ends[near], size[near])]])]
         marked[mine] = False
+        stop = np.cumsum(size[near])
+        both = inside[stop] - inside[stop - size[near]]
+        near = near[both * DENOMINATOR >= (size[near] + size[x] - both) * NUMERATOR]
+        if len(near):
+            yield int(order[x]), order[near]
+
+
+def connect(sets: list[np.ndarray], block: np.ndarray, crossing: bool) -> list[tuple[int, int]]:
+    """Links between similar sets (with ``crossing``, of different blocks) that connect as all links would."""
+    links, out = Links(len(sets)), []
+    for x, near in similar(sets, block, crossing):
+        out += links.join(x, near)
     return out
 
 
+def count_links(sets: list[np.ndarray], block: np.ndarray, crossing: bool, copies: np.ndarray, pivots: list[np.ndarray]) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect as all would, and how many documents each set is linked with by pairs without a common smaller pivot."""
+    links, out, reached = Links(len(sets)), [], np.zeros(len(sets), dtype=np.int64)
+    held = np.array([len(p) for p in pivots], dtype=np.int64)
+    ends = np.r_[0, np.cumsum(held)]
+    names, pivot = np.unique(np.concatenate(pivots), return_inverse=True)
+    marked = np.zeros(len(names), dtype=bool)
+    for x, near in similar(sets, block, crossing):
+        out += links.join(x, near)
+        mine = pivot[ends[x] : ends[x + 1]]
+        if len(mine):
+            marked[mine] = True
+            met = np.r_[0, np.cumsum(marked[pivot[take_rows(ends[near], held[near])]])]
+            marked[mine] = False
+            stop = np.cumsum(held[near])
+            near = near[met[stop] == met[stop - held[near]]]
+        reached[x] += copies[near].sum()
+        reached[near] += copies[x]
+    return out, reached
+
+
 def _verified(batches):
-    held: list[tuple[int, int, np.ndarray]] = []
+    """Rows (a, b, null) are links between groups, rows (a, null, n) say that the group's links reach n documents."""
+    held: list[tuple[int, int, int, np.ndarray, np.ndarray]] = []
     now = None
 
     def out():
         if len(held) > 1:
-            got = connect([h[2] for h in held], np.array([h[1] for h in held]), now[1] != now[2])
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array([held[x][0] for x, _ in got]), pa.array([held[y][0] for _, y in got])], names=["a", "b"])
+            g, block, copies, pivots, sets = zip(*held, strict=True)
+            got, reached = count_links(list(sets), np.array(block), now[1] != now[2], np.array(copies), list(pivots))
+            some = np.flatnonzero(reached).tolist()
+            a = [g[x] for x, _ in got] + [g[x] for x in some]
+            b = [g[y] for _, y in got] + [None] * len(some)
+            n = [None] * len(got) + reached[some].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in (a, b, n)], names=["a", "b", "n"])
 
     for batch in batches:
-        for pivot, i, j, block, g, members in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+        for pivot, i, j, block, g, copies, pivots, members in zip(*(batch.column(c).to_pylist() for c in range(8)), strict=True):
             if (pivot, i, j) != now:
                 yield from out()
                 held.clear()
                 now = pivot, i, j
-            held.append((g, block, np.frombuffer(members, dtype=_U)))
+            if held and held[-1][0] == g:  # rows equal in id and text
+                continue
+            held.append((g, block, copies, np.frombuffer(pivots, dtype=np.int64), np.frombuffer(members, dtype=_U)))
     yield from out()
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, group, component_id) for each row.
+    """(doc_id, text_hash, n_shingles, group, component_id, n_links) for each row.
 
     text_hash is xxhash64 of the text. group is null for an empty set (null, empty or blank text), which is linked with
     nothing; component_id is then the row's own id. A null id counts as larger than all others, and a component with no
     other id has null. Rows that repeat an id stand for themselves. An empty table gives an empty one.
+    n_links is the number of other rows that are similar enough, of equal and of different texts.
     """
     shards = shard_count(docs)
     spark = docs.sparkSession
@@ -292,7 +336,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return key[order], np.minimum(np.log2(top["n"].to_numpy(dtype=np.float64)), 63).astype(np.uint8)[order]
 
     tables = spark.sparkContext.broadcast((head(0, 64, COMMON_WORDS), head(1, 8, HEAVY_SHINGLES)))
-    groups = profile.where("n > 0").groupBy("g").agg(F.min(F.struct("k", "th")).alias("one"), F.first("n").alias("n"))
+    groups = profile.where("n > 0").groupBy("g").agg(F.min(F.struct("k", "th")).alias("one"), F.first("n").alias("n"), F.count("*").alias("copies"))
     hits = shared_keys(rows.select("t"), _prefixes(k, tables), shards).repartition(shards, "owner")
     # the smallest set that a set of n can be similar to has ceil(n * 3 / 4)
     smallest = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
@@ -305,18 +349,21 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = members.join(still, F.col("g") == F.col("sg")).select("g", "pivot")
     sized = members.join(groups, "g")
     blocks = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
-    placed = sized.join(blocks, "pivot").select("g", "one", F.struct("pivot", "blocks", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int").alias("block")).alias("place"))
-    wanted = placed.groupBy("g", "one").agg(F.collect_list("place").alias("places")).select("g", "places", F.col("one.k").alias("wk"), F.col("one.th").alias("wth"))
-    found = rows.join(wanted, (F.col("k") == F.col("wk")) & (F.col("th") == F.col("wth"))).select("t", "g", "places")
-    dealt = found.mapInArrow(_sets(k), "pivot long, i int, j int, block int, g long, members binary")
+    placed = sized.join(blocks, "pivot").select("g", "one", "copies", F.struct("pivot", "blocks", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int").alias("block")).alias("place"))
+    wanted = placed.groupBy("g", "one", "copies").agg(F.collect_list("place").alias("places")).select("g", "places", "copies", F.col("one.k").alias("wk"), F.col("one.th").alias("wth"))
+    found = rows.join(wanted, (F.col("k") == F.col("wk")) & (F.col("th") == F.col("wth"))).select("t", "g", "places", "copies")
+    dealt = found.mapInArrow(_sets(k), "pivot long, i int, j int, block int, g long, copies long, pivots binary, members binary")
     dealt = dealt.repartition(shards, "pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "g")
-    edges = dealt.mapInArrow(_verified, "a long, b long")
-    roots = components(edges)
-    joined = profile.join(roots, F.col("g") == F.col("node"), "left").select("k", "th", "n", F.when(F.col("n") > 0, F.coalesce("root", "g")).alias("grp"))
+    verified = written(dealt.mapInArrow(_verified, "a long, b long, n long"), "links")
+    roots = components(verified.where("b is not null").select("a", "b"))
+    reached = verified.where("b is null").groupBy(F.col("a").alias("rg")).agg(F.sum("n").alias("reached"))
+    linked = groups.select(F.col("g").alias("cg"), "copies").join(reached, F.col("cg") == F.col("rg"), "left").join(roots, F.col("cg") == F.col("node"), "left")
+    linked = linked.select("cg", "root", (F.col("copies") - 1 + F.coalesce("reached", F.lit(0))).alias("n_links"))
+    joined = profile.join(linked, F.col("g") == F.col("cg"), "left").select("k", "th", "n", F.when(F.col("n") > 0, F.coalesce("root", "g")).alias("grp"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     lows = joined.where(F.col("grp").isNotNull()).groupBy("grp").agg(F.min("k").alias("low"))
     done = joined.join(lows.withColumnRenamed("grp", "lg"), F.col("grp") == F.col("lg"), "left")
     known = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return done.select(known("k").alias("doc_id"), F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), F.col("grp").alias("group"), F.when(F.col("grp").isNull(), known("k")).otherwise(known("low")).alias("component_id"))
+    return done.select(known("k").alias("doc_id"), F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), F.col("grp").alias("group"), F.when(F.col("grp").isNull(), known("k")).otherwise(known("low")).alias("component_id"), "n_links")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

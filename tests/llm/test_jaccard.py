@@ -131,3 +131,15 @@ def test_query_on_test_data(spark):
     want = brute(rows)
     assert order(map(tuple, QUERIES["op5_jaccard_join"](spark, d).collect())) == order(want)
     assert any(r[0] != r[2] for r in want)
+
+
+@pytest.mark.parametrize(("seed", "block"), [(0, 1 << 17), (1, 300)])
+def test_links_equal_all_pairs(spark, seed, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+    rows = corpus(seed)
+    sets = [shingle_set(t) for _, t in rows]
+    want = [(i, len(a), sum(x != y and bool(a and b) and 4 * len(a & b) >= 3 * len(a | b) for y, b in enumerate(sets))) for x, ((i, _), a) in enumerate(zip(rows, sets, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_groups(docs).select("doc_id", "n_shingles", "n_links").collect()
+    assert order(map(tuple, got)) == order(want)
+    assert max(x[2] for x in want) > 2
