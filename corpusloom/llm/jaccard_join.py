@@ -367,12 +367,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those whose component has a smaller id; of rows equal in id and text, or null in id, one of a component."""
+    """The documents without those whose component has a smaller id; of rows equal in id and text, or null in id, one of a component. Rows without a word are in none and all stay."""
     groups = jaccard_groups(docs, id_col, text_col)
-    empty = groups.where(F.col("group").isNull()).select("doc_id", "text_hash").distinct()
     first = groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("k"), "text_hash")).alias("one"))
     known = F.when(F.col("one.k") != LAST, F.col("one.k"))
     i, h = free_name(docs, "_keep_id"), free_name(docs, "_keep_hash")
-    kept = first.select(known.alias("doc_id"), F.col("one.text_hash").alias("text_hash")).unionByName(empty).toDF(i, h)
+    kept = first.select(known.alias("doc_id"), F.col("one.text_hash").alias("text_hash")).toDF(i, h)
     same = docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(h))
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
+    filled = F.coalesce(docs[text_col].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return docs.where(filled).join(kept, same, "left_semi").dropDuplicates([id_col, text_col]).union(docs.where(~filled))

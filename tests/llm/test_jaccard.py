@@ -143,3 +143,10 @@ def test_links_equal_all_pairs(spark, seed, block, monkeypatch):
     got = jaccard_groups(docs).select("doc_id", "n_shingles", "n_links").collect()
     assert order(map(tuple, got)) == order(want)
     assert max(x[2] for x in want) > 2
+
+
+def test_keeps_all_without_words(spark):
+    rows = [(None, None, "a"), (None, None, "b"), (3, " \n", "a"), (3, " \n", "b"), (4, "", "a"), (5, "one", "a"), (5, "one", "b")]
+    kept = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r.doc_id or 0, r.source) for r in kept if r.doc_id != 5) == [(0, "a"), (0, "b"), (3, "a"), (3, "b"), (4, "a")]
+    assert sum(r.doc_id == 5 for r in kept) == 1
