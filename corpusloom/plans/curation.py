@@ -11,7 +11,10 @@ from ..sources.tables import table
 
 
 def flagship_reduction_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """How many documents each step of a curation removes: too short, duplicate, out of 8..1200 words, then the split."""
+    """How many documents each step of a curation removes: too short, duplicate, out of 8..1200 words.
+
+    The share of other characters (F6) and the split (K10) are not among the steps.
+    """
     docs = table(spark, folder, "documents").select("doc_id", "lang", word_count(F.col("text")).alias("words"), F.md5(F.lower(strip(F.col("text")))).alias("key"))
     noisy = F.col("words") < 60
     first = F.row_number().over(W.partitionBy("key", noisy).orderBy("doc_id")) == 1
