@@ -1,7 +1,8 @@
 """Files of token ids: Huffman-coded segments in ascending document order.
 
 ``<folder>/codebook`` holds a row (id, bits) for each id that occurs; ``<folder>/segments`` holds rows
-(part, seq, first, n_docs, n_tokens, data), written in ascending (part, seq) order; first counts the part's ids before it. Both are Parquet only as an envelope, so
+(part, seq, first, n_docs, n_tokens, data), written in ascending (part, seq) order; a part is a range of document ids, and
+first counts the part's ids before it. Both are Parquet only as an envelope, so
 any store that Spark writes to will do. ``data`` is the format itself, little-endian: magic ``TOK1``, u32 documents,
 u64 ids, u32 blocks; i64 document ids; one u8 for each document, 1 where its id is null; u32 ids of each document; u64
 bit offset of each block; code bits. A segment decodes with the codebook alone, and each block on its own.
@@ -13,23 +14,29 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import LibraryPairs, text_groups, worker_coder
+from .bpe import LibraryPairs, binaries, worker_coder
+from .frames import lean
 from .huffman import LIMIT, Codebook, code_lengths
+from .textops import slices
 from .workspace import new_folder, remove_folder
 
-#: Ids in a segment, but for a document that is longer alone.
+#: Ids after which a segment ends, with the document that reaches them; what a task holds.
 SEGMENT = 1 << 20
-#: Characters of the texts that are encoded together.
-TEXT = 1 << 20
-#: Ids that a task holds before it hands them on.
-HELD = 1 << 21
 
 _HEAD = "<4sIQI"
-_STAGED = "part int, keys binary, nulls binary, counts binary, ids binary"
+_STAGED = "k long, ids binary"
+_SEGMENTS = "part int, seq int, first long, n_docs long, n_tokens long, data binary"
+
+
+def cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, where each cell ends, from 0) of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
 def pack_segment(book: Codebook, keys: np.ndarray, nulls: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -49,77 +56,46 @@ def read_segment(book: Codebook, data: bytes) -> tuple[np.ndarray, np.ndarray, n
     return out[0], out[1].astype(bool), out[2], book.decode(out[3], data[at:], n)
 
 
-def _bounds(docs: DataFrame, id_col: str, parts: int) -> np.ndarray:
-    """Ids that part the rows into about equal ranges."""
-    if parts < 2:
-        return np.zeros(0, dtype=np.int64)
-    got = docs.select(F.col(id_col).cast("double").alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.2 / parts)
-    return np.unique(np.ceil(np.array(got, dtype=np.float64)).astype(np.int64))
-
-
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> None:
     """Encode every whole text, end it with ``end_id``, and write the ids under ``folder``.
 
     Null counts as the empty text (its end id only). Null ids come first; rows that repeat an id follow each other in the
-    order of their ids' bytes. An empty table gives an empty codebook and no segments.
+    order of their ids' bytes. An empty table gives an empty codebook and no segments. Other columns don't take part,
+    whatever their names. A text of any length is one row; a task holds the ids of one Arrow batch and one segment.
+
+    Documents are encoded once, into a table of the shared folder, since the code needs the counts of all ids. Spark deals
+    that table out by ranges of ids and sorts it, with its own spilling; the sorted rows are coded as they stream by.
     """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
-        source = spark.sparkContext.broadcast(f.read())
-    shuffled = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        bytes_ = f.read()
+    source = spark.sparkContext.broadcast(bytes_)  # a file of one vocabulary, whatever the corpus
+    unit = 2 if max(end_id + 1, len(LibraryPairs(bytes_, 1).bytes_of)) <= 1 << 16 else 4
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(docs[id_col].cast("long").alias("k"), docs[text_col].alias("t"))
-    bounds = _bounds(docs, "k", shuffled)
 
     def encoded(batches):
-        coder = None
-        squeeze = zstandard.ZstdCompressor(level=1)
-        held: list[tuple[np.ndarray, ...]] = []
-        n = 0
-
-        def out():
-            keys, nulls, counts = (np.concatenate([h[i] for h in held]) for i in range(3))
-            ids, first = np.concatenate([h[3] for h in held]), np.r_[0, np.cumsum(counts)]
-            part = np.where(nulls, 0, np.searchsorted(bounds, keys, side="right"))
-            for p in np.unique(part):
-                rows = np.flatnonzero(part == p)
-                own = np.concatenate([ids[first[r] : first[r + 1]] for r in rows])
-                cells = [keys[rows].tobytes(), nulls[rows].tobytes(), counts[rows].astype("<u4").tobytes(), squeeze.compress(own.astype("<u4").view("u1").reshape(-1, 4).T.tobytes())]
-                yield pa.RecordBatch.from_arrays([pa.array([p], type=pa.int32()), *(pa.array([c], type=pa.binary()) for c in cells)], names=["part", "keys", "nulls", "counts", "ids"])
-            held.clear()
-
         for batch in batches:
-            coder = coder or worker_coder(LibraryPairs, source.value)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            key = batch.column(0)
-            nulls, keys = np.array(key.is_null()), np.array(key.fill_null(0), dtype=np.int64)
-            for a, b in text_groups(texts, TEXT):
-                ids, counts = coder.encode(texts[a:b])
-                ids = np.insert(ids, np.cumsum(counts), end_id)
-                held.append((keys[a:b], nulls[a:b], counts + 1, ids.astype(np.uint32)))
-                n += len(ids)
-                if n >= HELD:
-                    yield from out()
-                    n = 0
-        if held:
-            yield from out()
-
-    def unsqueeze(cell: bytes) -> np.ndarray:
-        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), dtype=np.uint8)
-        return planes.reshape(4, -1).T.copy().view("<u4").reshape(-1)
+            coder = worker_coder(LibraryPairs, source.value)
+            for a, b, raw, off in slices(batch.column(1)):
+                ids, counts = coder.encode_bytes(raw, off)
+                ends = np.cumsum(counts)
+                ids = np.insert(ids, ends, end_id).astype(f"<u{unit}")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), binaries(ids.view(np.uint8), ids.itemsize * np.r_[0, ends + np.arange(1, b - a + 1)])], names=["k", "ids"])
+
+    staged = new_folder(spark, "token-stage")
+    docs.mapInArrow(lean(encoded), _STAGED).write.option("compression", "zstd").parquet(staged)
+    held = spark.read.schema(_STAGED).parquet(staged)
 
     def counted(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for cell in batch.column(0):
-                c = np.bincount(unsqueeze(cell.as_py()))
-                total = np.pad(total, (0, max(0, len(c) - len(total))))
-                total[: len(c)] += c
+            c = np.bincount(cells(batch.column(0))[0].view(f"<u{unit}"))
+            total = np.pad(total, (0, max(0, len(c) - len(total))))
+            total[: len(c)] += c
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    staged = new_folder(spark, "token-stage")
-    docs.mapInArrow(encoded, _STAGED).write.option("compression", "none").parquet(staged)
-    held = spark.read.schema(_STAGED).parquet(staged)
     counts = held.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # at most a row for each id of the vocabulary
     weight = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, dtype=np.int64)
     weight[counts["id"].to_numpy(dtype=np.int64)] = counts["n"].to_numpy(dtype=np.int64)
@@ -128,42 +104,31 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     shipped = spark.sparkContext.broadcast(lengths)
 
     def segments(batches):
-        book = Codebook(shipped.value)
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def out(part):
-            keys, nulls, counts, ids = (np.concatenate([h[i] for h in held]) for i in range(4))
-            held.clear()
-            first = np.r_[0, np.cumsum(counts.astype(np.int64))]
-            order = np.lexsort((keys, ~nulls))
-            ties = np.flatnonzero((keys[order][1:] == keys[order][:-1]) & (nulls[order][1:] == nulls[order][:-1]))
-            if len(ties):
-                text = lambda r: ids[first[r] : first[r + 1]].tobytes()
-                order = order.tolist()
-                order = np.array(sorted(order, key=lambda r: (not nulls[r], int(keys[r]), text(r))))
-            a, seq, before = 0, 0, 0
-            while a < len(order):
-                ends = np.cumsum(counts[order[a:]].astype(np.int64))
-                b = a + max(1, int(np.searchsorted(ends, SEGMENT, side="right")))
-                rows = order[a:b]
-                own = np.concatenate([ids[first[r] : first[r + 1]] for r in rows])
-                data = pack_segment(book, keys[rows], nulls[rows], counts[rows], own)
-                yield pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in ((part, pa.int32()), (seq, pa.int32()), (before, pa.int64()), (len(rows), pa.int64()), (len(own), pa.int64()), (data, pa.binary()))], names=["part", "seq", "first", "n_docs", "n_tokens", "data"])
-                a, seq, before = b, seq + 1, before + len(own)
-
-        now = None
+        book, part = Codebook(shipped.value), TaskContext.get().partitionId()
+        seq = before = 0
+        keys, nulls, counts, ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+
+        def out(n):
+            nonlocal keys, nulls, counts, ids, seq, before
+            size = int(counts[:n].sum())
+            data = pack_segment(book, keys[:n], nulls[:n], counts[:n], ids[:size])
+            row = pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in ((part, pa.int32()), (seq, pa.int32()), (before, pa.int64()), (n, pa.int64()), (size, pa.int64()), (data, pa.binary()))], names=["part", "seq", "first", "n_docs", "n_tokens", "data"])
+            keys, nulls, counts, ids, seq, before = keys[n:], nulls[n:], counts[n:], ids[size:], seq + 1, before + size
+            return row
+
         for batch in batches:
-            for part, keys, nulls, counts, ids in zip(*(batch.column(c) for c in range(5)), strict=True):
-                if part.as_py() != now:
-                    if held:
-                        yield from out(now)
-                    now = part.as_py()
-                held.append((np.frombuffer(keys.as_py(), dtype=np.int64), np.frombuffer(nulls.as_py(), dtype=bool), np.frombuffer(counts.as_py(), dtype="<u4"), unsqueeze(ids.as_py())))
-        if held:
-            yield from out(now)
-
-    ordered = held.repartitionByRange(len(bounds) + 1, "part").sortWithinPartitions("part")
-    ordered.mapInArrow(segments, "part int, seq int, first long, n_docs long, n_tokens long, data binary").write.option("compression", "none").parquet(f"{folder}/segments")
+            data, ends = cells(batch.column(1))
+            keys = np.r_[keys, np.array(batch.column(0).fill_null(0), dtype=np.int64)]
+            nulls = np.r_[nulls, np.array(batch.column(0).is_null())]
+            counts = np.r_[counts, np.diff(ends) // unit]
+            ids = np.r_[ids, data.view(f"<u{unit}")]
+            while len(ids) >= SEGMENT:
+                yield out(int(np.searchsorted(np.cumsum(counts), SEGMENT)) + 1)
+        if len(keys):
+            yield out(len(keys))
+
+    ordered = held.repartitionByRange(parts, F.asc_nulls_first("k")).sortWithinPartitions(F.asc_nulls_first("k"), "ids")
+    ordered.mapInArrow(lean(segments), _SEGMENTS).write.option("compression", "none").parquet(f"{folder}/segments")
     remove_folder(spark, staged)
 
 
@@ -173,7 +138,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     lengths = np.zeros(max([r.id for r in rows], default=0) + 1, dtype=np.uint8)
     for r in rows:
         lengths[r.id] = r.bits
-    kept = spark.read.schema("part int, seq int, first long, n_docs long, n_tokens long, data binary").parquet(f"{folder}/segments")
+    kept = spark.read.schema(_SEGMENTS).parquet(f"{folder}/segments")
     before, base = 0, {}
     for part, n in sorted(tuple(r) for r in kept.groupBy("part").agg(F.sum("n_tokens")).collect()):  # a row for each part, of which there are as many as shuffle partitions
         base[part] = before
@@ -188,9 +153,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 keys, nulls, counts, ids = read_segment(book, data.as_py())
                 ends = np.r_[0, np.cumsum(counts.astype(np.int64))]
                 raw = ids.astype("<u4")
-                yield pa.RecordBatch.from_arrays([pa.array(keys, mask=nulls), pa.array(base[part] + start + ends[:-1]), pa.array(counts, type=pa.int64()), pa.array([raw[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], type=pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, mask=nulls), pa.array(base[part] + start + ends[:-1]), pa.array(counts, type=pa.int64()), binaries(raw.view(np.uint8), 4 * ends)], names=["doc_id", "start", "n_tokens", "ids"])
 
-    return kept.select("part", "first", "data").mapInArrow(decoded, "doc_id long, start long, n_tokens long, ids binary")
+    return kept.select("part", "first", "data").mapInArrow(lean(decoded), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def checksums(decoded: DataFrame) -> DataFrame:
