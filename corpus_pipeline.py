@@ -43,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and of the decoded text."""
-    coded = encode_documents(docs, public_tokenizers.path(q.VOCABULARY), remembered=100_000)  # workers still hold memory of the stages before
+    coded = encode_documents(docs, public_tokenizers.path(q.VOCABULARY), remembered=1 << 18)  # workers still hold memory of the stages before
     return coded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
