@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .workspace import remove_folder, new_folder
 
@@ -11,17 +12,18 @@ ROUNDS = 60
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges (a long, b long): root is the smallest node of its component.
+    """(node, root) for every node of the edges (a, b) but the roots, of any one type with an order: root is the smallest node of its component.
 
     Each round writes its edges to the shared folder, so lineage stays short and no executor's disk matters. A node's
     neighbours are never gathered: only their minimum is, and it is joined back to the edges.
     """
     spark = edges.sparkSession
+    kind = T.StructType([T.StructField(c, edges.schema["a"].dataType) for c in "ab"])
     path = new_folder(spark, "edges")
     edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().write.parquet(path)
     before = None
     for _ in range(ROUNDS):
-        now = spark.read.schema("a long, b long").parquet(path)
+        now = spark.read.schema(kind).parquet(path)
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -31,8 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         small.write.parquet(after)
         remove_folder(spark, path)
         path = after
-        sums = spark.read.schema("a long, b long").parquet(path).agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        sums = spark.read.schema(kind).parquet(path).agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if sums == before:
-            return spark.read.schema("a long, b long").parquet(path).toDF("node", "root")
+            return spark.read.schema(kind).parquet(path).toDF("node", "root")
         before = sums
     raise RuntimeError("components did not settle")

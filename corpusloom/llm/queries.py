@@ -53,11 +53,7 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
-
-
-def op5_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+    return jaccard_groups(table(spark, sf_dir, "documents"), links=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def toxicity_training():
@@ -98,7 +94,6 @@ QUERIES = {
     "op3_lattice_lm": op3_lattice_lm,
     "op4_top_k": op4_top_k,
     "op5_jaccard_join": op5_jaccard_join,
-    "op5_jaccard_links": op5_jaccard_links,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op8_bpe": op8_bpe,

@@ -8,7 +8,7 @@ import pytest
 
 from corpusloom.llm.components import components
 from corpusloom.llm import jaccard_join
-from corpusloom.llm.jaccard_join import connect, jaccard_groups, keep_one_of_each
+from corpusloom.llm.jaccard_join import connect, jaccard_groups, keep_one_of_each, reach
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -116,6 +116,22 @@ def test_connect_finds_what_all_links_connect():
     assert close(connect(sets, np.zeros(120, dtype=int), False)) == close(every) and up
 
 
+@pytest.mark.parametrize(("seed", "bases", "most"), [(0, 1, 14), (1, 3, 9), (2, 1, 40), (3, 25, 3)])
+def test_reach_counts_all_links(seed, bases, most):
+    rng = np.random.default_rng(seed)
+    base = [rng.integers(0, 2**60, rng.integers(30, 70)).astype(np.uint64) for _ in range(bases)]
+    extra = rng.integers(0, 2**60, 12).astype(np.uint64)
+    sets = []
+    for _ in range(130):
+        s = base[rng.integers(bases)]
+        s = s[rng.random(len(s)) > rng.integers(0, most) / 100]
+        sets.append(np.unique(np.r_[s, rng.choice(extra, rng.integers(0, 6))]))
+    copies, block = rng.integers(1, 4, 130), rng.integers(0, 2, 130)
+    alike = np.array([[i != j and 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b)) for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+    assert (reach(sets, block, False, copies) == alike @ copies).all() and alike.any()
+    assert (reach(sets, block, True, copies) == (alike & (block[:, None] != block)) @ copies).all()
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))
@@ -129,7 +145,11 @@ def test_query_on_test_data(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     want = brute(rows)
-    assert order(map(tuple, QUERIES["op5_jaccard_join"](spark, d).collect())) == order(want)
+    sets = [shingle_set(t) for _, t in rows]
+    links = [sum(i != j and bool(a and b) and 4 * len(a & b) >= 3 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    got = QUERIES["op5_jaccard_join"](spark, d).collect()
+    assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order(want)
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted((i, n) for (i, _), n in zip(rows, links, strict=True))
     assert any(r[0] != r[2] for r in want)
 
 
@@ -140,7 +160,8 @@ def test_links_equal_all_pairs(spark, seed, block, monkeypatch):
     sets = [shingle_set(t) for _, t in rows]
     want = [(i, len(a), sum(x != y and bool(a and b) and 4 * len(a & b) >= 3 * len(a | b) for y, b in enumerate(sets))) for x, ((i, _), a) in enumerate(zip(rows, sets, strict=True))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = jaccard_groups(docs).select("doc_id", "n_shingles", "n_links").collect()
+    monkeypatch.setattr(jaccard_join, "COUNT_SHINGLES", block)
+    got = jaccard_groups(docs, links=True).select("doc_id", "n_shingles", "n_links").collect()
     assert order(map(tuple, got)) == order(want)
     assert max(x[2] for x in want) > 2
 
