@@ -6,7 +6,8 @@
    With l more in each prefix they share l + 1. Here l grows with n, so sharing a passage isn't enough.
 2. Documents with equal sets become one, and sets with equal prefixes and sizes one group.
 3. ``shared_keys`` drops prefix shingles that one group holds alone, and then all groups that share too few.
-4. All remaining groups that share a prefix shingle join the cluster of the smallest of them, so every candidate pair of
+4. All remaining groups that share a prefix shingle join the cluster of the smallest of them, but leave out those that hold
+   too little of their prefix to matter, so every candidate pair of
    groups meets in a cluster, and a group of several sets has one of its own. Here groups are expanded to their sets.
    A cluster's size is summed first; a large one is cut into blocks, and pairs of blocks go to tasks.
 5. A task groups its sets again by prefix and size, in its own rare-first order; pairs of groups that pass the prefix index and
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import binaries
@@ -43,7 +45,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Words and shingles that the global order knows to be common: fixed sizes of its tables.
 COMMON_WORDS, HEAVY_SHINGLES = 1 << 16, 1 << 18
 #: Shingles of a cluster's block, and of a component's when links are counted.
-BLOCK_SHINGLES, COUNT_SHINGLES = 1 << 20, 1 << 18
+BLOCK_SHINGLES, COUNT_SHINGLES = 1 << 20, 1 << 19
 LAST = 2**63 - 1
 
 _U = np.uint64
@@ -415,10 +417,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # summed before it moves, as a third of all groups may hold a key
     pivots = near.groupBy("key").agg(F.min("owner").alias("pivot"), F.count("*").alias("held")).where("held > 1").select(F.col("key").alias("pkey"), "pivot")
     members = written(near.join(pivots, F.col("key") == F.col("pkey")).groupBy(F.col("owner").alias("p"), "pivot").agg(F.count("*").alias("held")), "members")
-    # once more, over what the groups left share with each other
-    still = members.groupBy("p").agg(F.sum("held").alias("held")).join(sizes, F.col("p") == F.col("sp")).where(enough).select("sp")
+    # once more, over what the groups left share with each other. Two similar sets share m shingles of their prefixes, so each
+    # may leave out its rarest clusters, those that hold up to half of m - 1 of its shingles, and they meet in another
+    left_out = F.floor((F.greatest(F.lit(1), in_common(smallest)) - 1) / 2)
+    still = members.groupBy("p").agg(F.sum("held").alias("held")).join(sizes, F.col("p") == F.col("sp")).where(enough).select("sp", left_out.alias("less"))
+    upto = F.sum("held").over(W.partitionBy("p").orderBy("held", "pivot"))
+    kept = members.join(still, F.col("p") == F.col("sp")).withColumn("upto", upto).where(F.col("upto") > F.col("less")).select("p", "pivot")
     alone = groups.where("sets > 1").select("p", F.col("p").alias("pivot"))
-    met = members.join(still, F.col("p") == F.col("sp")).select("p", "pivot").union(alone).distinct()
+    met = kept.union(alone).distinct()
     sized = met.select(F.col("p").alias("mp"), "pivot").join(sets, F.col("mp") == F.col("p"))
     blocks = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
     block = F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int").alias("block")
@@ -435,11 +441,18 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     told = told.select("cg", F.coalesce("low", "first").alias("low"), F.coalesce("top", "cg").alias("grp"), "copies")
     if links:
         within = roots.select("ng", "top").union(roots.select(F.col("top").alias("ng"), "top").distinct())
-        named = found.select("g", "members", "copies").join(within, F.col("g") == F.col("ng")).select(F.col("top").alias("name"), "g", "members", F.col("copies").alias("x"))
+        own = sets.select("g", "copies").join(within, F.col("g") == F.col("ng")).groupBy("top").agg(F.count("*").alias("held"), F.sum("copies").alias("all"))
+        # two sets make one link; pairs of more are decided
+        pairs = within.join(own.where("held = 2").select(F.col("top").alias("ptop"), "all"), F.col("top") == F.col("ptop")).select(F.col("ng").alias("rg"), "all")
+        more = within.join(own.where("held > 2").select("top"), "top", "left_semi")
+        named = found.select("g", "members", "copies").join(more, F.col("g") == F.col("ng")).select(F.col("top").alias("name"), "g", "members", F.col("copies").alias("x"))
         blocks = named.groupBy("name").agg(F.ceil(F.sum(F.length("members")) / F.lit(8 * COUNT_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("name", "bname")
         linked = _dealt(named.join(blocks, F.col("name") == F.col("bname")).select("name", "blocks", block, "g", "x", "members"), shards, _counted, "g long, n long")
         reached = linked.groupBy(F.col("g").alias("rg")).agg(F.sum("n").alias("reached"))
-        told = told.join(reached, F.col("cg") == F.col("rg"), "left").select("cg", "low", "grp", (F.col("copies") - 1 + F.coalesce("reached", F.lit(0))).alias("n_links"))
+        # of a pair, "all" has the set's own copies too
+        reached = pairs.select("rg", F.lit(0).cast("long").alias("reached"), "all").union(reached.select("rg", "reached", F.lit(None).cast("long").alias("all")))
+        told = told.join(reached, F.col("cg") == F.col("rg"), "left").select("cg", "low", "grp", F.coalesce(F.col("all") - 1, F.col("copies") - 1 + F.coalesce("reached", F.lit(0))).alias("n_links"))
+    told = written(told, "told")  # a row for each set; read as a table, so that Spark can split a hot set's documents
     done = profile.join(told, F.col("g") == F.col("cg"), "left")
     known = lambda c: F.when(F.col(c) != LAST, F.col(c))
     out = done.select(known("k").alias("doc_id"), F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), F.col("grp").alias("group"), F.when(F.col("grp").isNull(), known("k")).otherwise(known("low")).alias("component_id"), *([F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []))
