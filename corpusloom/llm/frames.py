@@ -37,15 +37,22 @@ def lean(run: Callable) -> Callable:
     return released
 
 
-def add_column(frame: DataFrame, name: str, kind: str, text_col: str, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
-    """The frame with one more column, which ``make()(texts)`` gives for each batch of ``text_col``."""
-    schema = T.StructType([*frame.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+def add_column(frame: DataFrame, name: str, kind: str, text_col: str, make: Callable[[], Callable[..., pa.Array]], before: bool = False) -> DataFrame:
+    """The frame with one more column, which ``make()(texts)`` gives for each batch of ``text_col``.
+
+    With ``before`` the frame has the column already, and ``make()(texts, column)`` gives it anew.
+    """
+    schema = frame.schema if before else T.StructType([*frame.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
     at = frame.columns.index(text_col)
+    old = frame.columns.index(name) if before else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         add = None
         for batch in batches:
             add = add or make()
-            yield pa.RecordBatch.from_arrays([*batch.columns, add(batch.column(at))], names=[*batch.schema.names, name])
+            if before:
+                yield batch.set_column(old, name, add(batch.column(at), batch.column(old)))
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns, add(batch.column(at))], names=[*batch.schema.names, name])
 
     return frame.mapInArrow(lean(run), schema)

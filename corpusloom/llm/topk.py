@@ -4,7 +4,8 @@ Each block of candidates keeps one list a dimension, sorted by component. For a
 the end that helps it most. A candidate seen in some lists has a lower bound (what it has so far, plus the worst that the
 unread parts of the others can give) and an upper bound (plus the best). Reading stops when no candidate outside those
 that can still be among the k, and none unseen, can reach the k-th lower bound; the few that are left are then resolved
-exactly. Ties count as reaching, so equal scores are all resolved and the smaller id wins.
+exactly. Ties count as reaching, so equal scores are all resolved and the smaller id wins. A query takes the k-th score that it
+has found to the next block of its task, so most later blocks end as soon as nothing in them can reach it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .frames import lean
+from .workspace import written
+
 K = 10
 SCALE = 1024
 #: Queries that one broadcast holds, whatever their number; all candidates are read once for each such block.
@@ -31,21 +35,28 @@ class SortedLists:
         self.ids, self.vectors = ids[order], vectors[order]
         self.order = np.argsort(self.vectors, axis=0, kind="stable").T.copy()  # dimension, ascending
         self.sorted = np.take_along_axis(self.vectors.T, self.order, axis=1)
+        self.most = np.maximum(np.abs(self.sorted[:, :1]), np.abs(self.sorted[:, -1:]))[:, 0].astype(np.float64)
+
+    def search(self, query: np.ndarray, own: int, k: int, first_step: int = 256, floor: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+        """(ids, scores) of the k best other than those of id ``own``, ties to smaller ids; and entries read.
 
-    def search(self, query: np.ndarray, own: int, k: int, first_step: int = 256) -> tuple[np.ndarray, np.ndarray, int]:
-        """(ids, scores) of the k best other than those of id ``own``, ties to smaller ids; and entries read."""
+        Scores below ``floor`` may be left out. Scores that don't fit a long raise.
+        """
         n, dims = self.vectors.shape
         used = np.flatnonzero(query)
-        if not len(used) or n <= 2 * k:
-            cand, read = np.arange(n), 0
+        reach = float(self.most @ np.abs(query).astype(np.float64))
+        if reach >= 2.0**63:
+            raise OverflowError("inner products beyond 64 bits")
+        if not len(used) or n <= 2 * k or reach >= 2.0**53:  # bounds are kept as doubles
+            cand, read = np.arange(n), 0 if reach < 2.0**53 else n * len(used)
         else:
-            cand, read = self._candidates(query, used, k + int((self.ids == own).sum()), first_step)
+            cand, read = self._candidates(query, used, k + int((self.ids == own).sum()), first_step, -np.inf if floor is None else floor)
         cand = cand[self.ids[cand] != own]
         score = self.vectors[cand] @ query
         best = np.lexsort((self.ids[cand], -score))[:k]
         return self.ids[cand[best]], score[best], read
 
-    def _candidates(self, query: np.ndarray, used: np.ndarray, k: int, step: int) -> tuple[np.ndarray, int]:
+    def _candidates(self, query: np.ndarray, used: np.ndarray, k: int, step: int, floor: float) -> tuple[np.ndarray, int]:
         n = len(self.ids)
         q = query[used]
         up = q > 0
@@ -57,6 +68,8 @@ class SortedLists:
         unseen = np.ones((len(used), n))
         depth = np.zeros(len(used), dtype=np.int64)
         read = 0
+        if bound.sum() < floor:
+            return np.zeros(0, dtype=np.int64), read
         while True:
             # the lists with most left to lose are read further
             for d in np.argsort(worst - bound)[: max(8, len(used) // 3)]:
@@ -71,9 +84,10 @@ class SortedLists:
                 read += b - a
                 bound[d] = (ends[d, n - 1 - b] if up[d] else ends[d, b]) * q[d] if b < n else worst[d]
             lower, upper = np.stack([worst, bound]).astype(np.float64) @ unseen  # whole numbers below 2**53
-            kth = np.partition(got + lower, n - k)[n - k]
+            kth = max(floor, np.partition(got + lower, n - k)[n - k])
             left = np.flatnonzero(got + upper >= kth)
-            if len(left) <= max(4 * k, n // 16) or (depth == n).all():
+            # outsiders can't qualify: those left are the k, with ties, or none
+            if len(left) <= k or (depth == n).all():
                 return left, read
             step = min(n, step * 2)
 
@@ -84,10 +98,12 @@ def integers(vectors: pa.Array, scale: int = SCALE) -> tuple[np.ndarray, np.ndar
     for i, v in enumerate(vectors):
         if not v.is_valid or v.values.null_count:
             continue
-        x = np.asarray(v.values, dtype=np.float64)
-        if np.isfinite(x).all():
+        x = np.floor(np.asarray(v.values, dtype=np.float64) * scale)
+        if np.isfinite(np.asarray(v.values, dtype=np.float64)).all():
+            if len(x) and np.abs(x).max() >= 2.0**63:
+                raise OverflowError("components beyond 64 bits")
             rows.append(i)
-            out.append(np.floor(x * scale).astype(np.int64))
+            out.append(x.astype(np.int64))
     return np.array(rows, dtype=np.int64), np.stack(out) if out else np.zeros((0, 0), dtype=np.int64)
 
 
@@ -96,7 +112,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
 
     Vectors that are null, or hold a null or non-finite component, and null ids take no part; an empty vector scores 0.
     Of rows that repeat an id, the candidates each count; of a query id with several vectors,
-    the k best over all of them are given. Vectors of several lengths raise. An empty table, or one without queries, gives no rows.
+    the k best over all of them are given. Vectors of several lengths raise, and scores beyond a long. An empty table, or one
+    without queries, gives no rows. Queries go out in blocks of bounded size; with several, each block's result is written to the
+    shared folder before the next is sent. Other columns don't take part, whatever their names.
     """
     spark = vectors.sparkSession
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
@@ -113,11 +131,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
         def run(batches, shipped=shipped):
             names, grid = shipped.value
 
+            best = np.full((len(names), k), -np.inf)
+
             def search(ids, own):
                 lists = SortedLists(ids, own)
                 out = [[], [], []]
-                for name, query in zip(names, grid, strict=True):
-                    got, score, _ = lists.search(query, name, k)
+                for i, (name, query) in enumerate(zip(names, grid, strict=True)):
+                    floor = best[i, 0]
+                    got, score, _ = lists.search(query, name, k, floor=None if floor == -np.inf else int(floor))
+                    best[i] = np.sort(np.r_[best[i], np.where(score < -(2**53), -np.inf, np.minimum(score, 2**53))])[-k:]
+                    keep = score >= floor
+                    got, score = got[keep], score[keep]
                     out[0].append(np.full(len(got), name))
                     out[1].append(got)
                     out[2].append(score)
@@ -138,7 +162,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
             if n:
                 yield search(np.concatenate(ids), np.concatenate(own))
 
-        found.append(rows.select("id", "v").mapInArrow(run, "query_id long, vec_id long, score long"))
+        got = rows.select("id", "v").mapInArrow(lean(run), "query_id long, vec_id long, score long")
+        if blocks > 1:
+            got = written(got, "top-k")
+            shipped.unpersist()
+        found.append(got)
     every = found[0]
     for other in found[1:]:
         every = every.union(other)

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from corpusloom.llm.decontaminate import WuManber, match_benchmark
+from corpusloom.llm.decontaminate import Matcher, match_benchmark
 from corpusloom.llm.substring_dedup import SuffixAutomaton, substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,8 +133,10 @@ def test_empty_tables(spark):
 
 
 def test_shift_table_finds_overlaps():
-    m = WuManber({(b"a", b"a", b"a"): 0, (b"a", b"b", b"a"): 1})
-    assert m.find(b"a a a a b a".split()) == [(0, 0), (1, 0), (3, 1)]
+    m = Matcher([("0", b"a a a"), ("1", b"a b a"), ("2", b"a")], 3)
+    words = b"a a a a b a".split()
+    assert sorted(s for s in m.find(words)[0] if s[1] - s[0] == 3) == [(0, 3), (1, 4), (3, 6)]
+    assert m.find(words)[1] == {"0", "1", "2"} and m.find(b"b a b".split())[1] == {"2"}
 
 
 def test_match_query_on_test_data(spark):

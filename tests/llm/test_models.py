@@ -152,6 +152,20 @@ def test_lists_stop_early_where_scores_differ():
     assert ids.tolist() == [7] and score[0] == 8100 and read < 4000
 
 
+def test_lists_with_large_scores():
+    rng = np.random.default_rng(3)
+    for scale in (1e3, 3e5, 1e6, 3e6):
+        grid = (rng.normal(size=(300, 6)) * scale).astype(np.int64) * 30
+        lists = SortedLists(np.arange(300), grid)
+        ids, score, _ = lists.search(grid[0], 0, 5, first_step=16)
+        want = sorted(((-sum(int(a) * int(b) for a, b in zip(grid[0], v, strict=True)), i) for i, v in enumerate(grid) if i))[:5]
+        assert [(-s, i) for i, s in zip(ids.tolist(), score.tolist(), strict=True)] == want
+        floor = int(score[2])
+        assert lists.search(grid[0], 0, 5, first_step=16, floor=floor)[0].tolist()[:3] == ids.tolist()[:3]
+    with pytest.raises(OverflowError):
+        SortedLists(np.arange(300), np.full((300, 6), 2**40)).search(np.full(6, 2**40), 0, 5)
+
+
 def test_label_model_weighs_voters():
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.2
