@@ -4,7 +4,7 @@ Words, not bytes, are the alphabet, so a pattern of 10 words lets the search lea
 table over blocks of two words skips positions where no pattern can end; where the shift is 0, the block's bucket names
 the patterns to compare word by word. Patterns of one length share a matcher (items shorter than a window have their
 own, so they don't shorten the leaps of the others). The benchmark's words are numbered, and patterns are places in one
-array of numbers, so an index takes about 30 times its text's bytes (measured: see the README).
+array of numbers, so an index takes about 45 times its text's bytes.
 """
 
 from __future__ import annotations

@@ -1,13 +1,15 @@
 """Language-model scores from a lattice of subwords.
 
-A text is a run of words and an end. The probability of a word is summed over every way to spell it: as pieces of an
-existing vocabulary, the first of which opens the word, or, if training has the word, as a unit of its own. A piece's
-score is its log probability as a unigram. Forward recursion in log space gives the sum, so no segmentation is picked
+A text is a run of words and an end. The lattice's probability of a word is summed over every way to spell it as pieces of an
+existing vocabulary, the first of which opens the word. A piece's
+score is its log probability as a unigram, as the vocabulary has it. Forward recursion in log space gives the sum, so no segmentation is picked
 and none is left out. The pieces that open words and those that go on share one distribution; as the next opening piece
-ends a word, the spelt words add up to 1, and with the units, which give up ``DISCOUNT`` counts each, so does the model.
+ends a word, the spelt words add up to 1.
 
-The vocabulary's own scores only start the estimate: each piece's expected count over all distinct training words
-replaces its score (words are spelt when they are new, so each distinct word counts once).
+``lattice_score`` is of that alone, with the share of ends that training has. In ``score`` a word that training has can
+also be a unit of its own, one more arc from its beginning to its end; units give up ``DISCOUNT`` counts each to the
+spelt words, so that it too adds up to 1. ``rounds`` replaces the vocabulary's scores by expected counts over all
+distinct training words, as often; 0 of them, the default, leaves the scores as they are.
 
 Counts of all words don't fit one machine. The most frequent ones, a fixed number, go to every task; the rest of a
 text's words meet their counts in a shuffle on the word.
@@ -26,13 +28,12 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import lean
 from .workspace import written
 
 DISCOUNT = 0.5
 #: Words whose counts every task holds.
 HEAD_WORDS = 1 << 17
-#: Rounds of estimation, each over all distinct training words.
-ROUNDS = 4
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 300_000
 LAST = 2**63 - 1
@@ -183,7 +184,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                         yield from out()
         yield from out()
 
-    return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(lean(run), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _expected(pieces):
@@ -205,20 +206,24 @@ class Model:
         self.spare = math.log(DISCOUNT * v / n) if n else 0.0
         self.end_score = math.log10((ends - DISCOUNT) / n) if ends else math.log10(0.5)
         self.end_base = math.log10((ends + 1) / (n + v + 1))
+        share = (ends + 0.5) / (n + 1)
+        self.end_lattice, self.more = math.log10(share), math.log10(1 - share)
 
     def base(self, c: int) -> float:
         return math.log10((c + 1) / (self.n + self.v + 1))
 
-    def score(self, word: bytes, c: int) -> float:
-        spelt = self.spare + self.lattice.log_probability(word.decode("utf-8", "replace"))
+    def score(self, word: bytes, c: int) -> tuple[float, float]:
+        """log10 probability of the word, and that of the lattice alone."""
+        alone = self.lattice.log_probability(word.decode("utf-8", "replace"))
+        spelt, lattice = self.spare + alone, alone / LOG10 + self.more
         if not c:
-            return spelt / LOG10
+            return spelt / LOG10, lattice
         unit = math.log((c - DISCOUNT) / self.n)
         top = max(unit, spelt)
-        return (top + math.log1p(math.exp(-abs(unit - spelt)))) / LOG10
+        return (top + math.log1p(math.exp(-abs(unit - spelt)))) / LOG10, lattice
 
 
-_ROWS = "k long, th long, word binary, n long, known long, base double, score double, tokens long"
+_ROWS = "k long, th long, word binary, n long, known long, base double, score double, lattice double, tokens long"
 
 
 def _known_part(model, head):
@@ -228,7 +233,7 @@ def _known_part(model, head):
         own = Model(*model.value)
         words, counts = head.value
         table = dict(zip(words, counts, strict=True))
-        seen: dict[bytes, tuple[float, float]] = {}
+        seen: dict[bytes, tuple[float, float, float]] = {}
         for batch in batches:
             ks, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             docs: list[tuple] = []
@@ -237,7 +242,7 @@ def _known_part(model, head):
             for k, th, text in zip(ks, ths, batch.column(2), strict=True):
                 held = Counter(words_of(text.as_buffer().to_pybytes())) if text.is_valid else {}
                 known = total = 1
-                base, score = own.end_base, own.end_score
+                base, score, lattice = own.end_base, own.end_score, own.end_lattice
                 if not own.n:
                     known = 0
                 before = len(words)
@@ -245,14 +250,15 @@ def _known_part(model, head):
                     total += n
                     if (c := table.get(word)) is not None:
                         if (got := seen.get(word)) is None:
-                            got = seen[word] = own.base(c), own.score(word, c)
+                            got = seen[word] = own.base(c), *own.score(word, c)
                         known += n
                         base += n * got[0]
                         score += n * got[1]
+                        lattice += n * got[2]
                     else:
                         words.append(word)
                         times.append(n)
-                docs.append((k, th, known, base, score, total, len(words) - before))
+                docs.append((k, th, known, base, score, lattice, total, len(words) - before))
                 if len(words) + len(docs) >= 50_000:
                     yield _batch(docs, words, times)
                     docs, words, times = [], [], []
@@ -264,7 +270,7 @@ def _known_part(model, head):
 
 def _batch(docs: list[tuple], words: list[bytes], times: list[int]) -> pa.RecordBatch:
     """A row for each document, then one for each of its other words."""
-    k, th, known, base, score, total, other = (np.array(x) for x in zip(*docs, strict=True))
+    k, th, known, base, score, lattice, total, other = (np.array(x) for x in zip(*docs, strict=True))
     none = np.zeros(len(words), dtype=np.int64)
     cells = (
         np.r_[k, np.repeat(k, other)],
@@ -274,9 +280,10 @@ def _batch(docs: list[tuple], words: list[bytes], times: list[int]) -> pa.Record
         np.r_[known, none],
         np.r_[base, none.astype(np.float64)],
         np.r_[score, none.astype(np.float64)],
+        np.r_[lattice, none.astype(np.float64)],
         np.r_[total, none],
     )
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["k", "th", "word", "n", "known", "base", "score", "tokens"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["k", "th", "word", "n", "known", "base", "score", "lattice", "tokens"])
 
 
 def _rare_part(model):
@@ -284,9 +291,9 @@ def _rare_part(model):
 
     def run(batches):
         own = Model(*model.value)
-        now, c, base, score = None, 0, 0.0, None
+        now, c, base, score, lattice = None, 0, 0.0, None, 0.0
         for batch in batches:
-            out = ks, ths, knowns, bases, scores = [], [], [], [], []
+            out = ks, ths, knowns, bases, scores, lattices = [], [], [], [], [], []
             for word, k, th, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if word != now:
                     now, c, score = word, 0, None
@@ -296,24 +303,26 @@ def _rare_part(model):
                     base = own.base(c)
                     continue
                 if score is None:
-                    score = own.score(word, c)
+                    score, lattice = own.score(word, c)
                 ks.append(k)
                 ths.append(th)
                 knowns.append(n if c else 0)
                 bases.append(n * base)
                 scores.append(n * score)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(out, kinds, strict=True)], names=["k", "th", "known", "base", "score"])
+                lattices.append(n * lattice)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(out, kinds, strict=True)], names=["k", "th", "known", "base", "score", "lattice"])
 
     return run
 
 
-def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row, learning from rows where ``train``.
+def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS, rounds: int = 0) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score, lattice_score) of every row, learning from rows where ``train``.
 
     Null counts as the empty text, whose only token is the end. A null id is a valid id and stays null. Rows equal in id
     and text are scored alike, each in a row of its own. With no training rows every count is 0, words are spelt by the
-    vocabulary's own scores, and the end has half of all probability. An empty table gives an empty one.
+    vocabulary's own scores, and the end has half of all probability. An empty table gives an empty one. Texts are read whole; words of any length are
+    scored. Other columns don't take part, whatever their names.
     """
     spark = docs.sparkSession
     shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -333,21 +342,21 @@ def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str
     frequent = level >= least if least is not None else F.lit(False)
     top = counts.where(frequent).collect()
     pieces = read_pieces(vocabulary)
-    for _ in range(ROUNDS if sums.v else 0):
+    for _ in range(rounds if sums.v else 0):
         shared = spark.sparkContext.broadcast(pieces)  # a vocabulary's pieces, whatever the corpus
         got = counts.select("word").mapInArrow(_expected(shared), "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
         pieces = reestimated(pieces, {r.piece: r.n for r in got})
     model = spark.sparkContext.broadcast((pieces, n, v, ends))
     head = spark.sparkContext.broadcast(([bytes(r.word) for r in top], [r.c for r in top]))
-    parts = written(rows.select("k", "th", "t").mapInArrow(_known_part(model, head), _ROWS), "word-scores")
+    parts = written(rows.select("k", "th", "t").mapInArrow(lean(_known_part(model, head)), _ROWS), "word-scores")
     tail = parts.where("word is not null").select("word", "k", "th", "n")
     rest = counts.where(~frequent).select("word", F.lit(None).cast("long").alias("k"), F.lit(None).cast("long").alias("th"), F.col("c").alias("n"))
     met = tail.unionByName(rest).repartition(shards, "word").sortWithinPartitions("word", F.asc_nulls_first("k"))
-    rare = met.mapInArrow(_rare_part(model), "k long, th long, known long, base double, score double")
-    whole = parts.where("word is null").select("k", "th", "known", "base", "score", "tokens", F.lit(1).alias("copies"))
+    rare = met.mapInArrow(lean(_rare_part(model)), "k long, th long, known long, base double, score double, lattice double")
+    whole = parts.where("word is null").select("k", "th", "known", "base", "score", "lattice", "tokens", F.lit(1).alias("copies"))
     every = whole.unionByName(rare.withColumns({"tokens": F.lit(0).cast("long"), "copies": F.lit(0)}))
-    summed = every.groupBy("k", "th").agg(*(F.sum(c).alias(c) for c in ("known", "base", "score", "tokens", "copies")))
+    summed = every.groupBy("k", "th").agg(*(F.sum(c).alias(c) for c in ("known", "base", "score", "lattice", "tokens", "copies")))
     one = summed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     share = lambda c: (F.col(c) / F.col("copies"))
     known_id = F.when(F.col("k") != LAST, F.col("k"))
-    return one.select(known_id.alias("doc_id"), share("tokens").cast("long").alias("n_tokens"), share("known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), share("base").alias("base_score"), share("score").alias("score"))
+    return one.select(known_id.alias("doc_id"), share("tokens").cast("long").alias("n_tokens"), share("known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), share("base").alias("base_score"), share("score").alias("score"), share("lattice").alias("lattice_score"))

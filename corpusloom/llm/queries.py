@@ -45,7 +45,7 @@ def _hashed(column: str = "doc_id"):
 def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _hashed() % 7 == 2
     got = score_documents(table(spark, sf_dir, "documents"), ~held_out, public_tokenizers.path(PIECES))
-    return got.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return got.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "lattice_score")
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

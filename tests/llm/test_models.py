@@ -70,6 +70,23 @@ def lm_rows():
     return rows + [(90, None), (91, ""), (92, "zq" * 3000), (5, rows[5][1]), (5, "other"), (None, "null id the")]
 
 
+def plain_spelling(pieces, word, memo={}):  # noqa: B006
+    """The probability of a word: the sum over all ways to spell it."""
+    word = word if isinstance(word, str) else word.decode()
+
+    def rest(w):
+        if not w:
+            return 1.0
+        if w not in memo:
+            total = sum(math.exp(pieces[w[:j]]) * rest(w[j:]) for j in range(1, len(w) + 1) if w[:j] in pieces and "▁" not in w[:j])
+            if w[0] not in pieces:
+                total += math.exp(sum(pieces[f"<0x{b:02X}>"] for b in w[0].encode())) * rest(w[1:])
+            memo[w] = total
+        return memo[w]
+
+    return sum(math.exp(pieces["▁" + word[:j]]) * rest(word[j:]) for j in range(len(word) + 1) if "▁" + word[:j] in pieces)
+
+
 @pytest.mark.parametrize("head", [4, 1 << 17])
 def test_lm_counts_equal_brute_force(spark, head):
     rows = lm_rows()
@@ -82,6 +99,16 @@ def test_lm_counts_equal_brute_force(spark, head):
     want = sorted(((i is None, i or 0, len(ws), sum(count[w] > 0 for w in ws), n, round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws), 6)) for i, ws in toks))
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+    ends, pieces = sum(fold(i) != 2 for i, _ in toks), lattice_lm.read_pieces(PIECES)
+    scores, lattices = [], []
+    for _, ws in (x for x in toks if x[0] != 92):  # by the definition, each word's segmentations summed by plain recursion
+        spelt = [plain_spelling(pieces, w) for w in ws[:-1]]
+        p = [(max(count[w] - 0.5, 0.0) + 0.5 * v * s) / n for w, s in zip(ws[:-1], spelt, strict=True)]
+        scores.append(sum(map(math.log10, p)) + math.log10((ends - 0.5) / n))
+        e = (ends + 0.5) / (n + 1)
+        lattices.append(sum(math.log10(s * (1 - e)) for s in spelt) + math.log10(e))
+    for want, name in ((scores, "score"), (lattices, "lattice_score")):
+        assert np.allclose(sorted(r[name] for r in got if r.doc_id != 92), sorted(want), rtol=1e-9)
     test_lm_counts_equal_brute_force.scores = getattr(test_lm_counts_equal_brute_force, "scores", []) + [sorted(round(r.score, 6) for r in got)]
     assert all(s == test_lm_counts_equal_brute_force.scores[0] for s in test_lm_counts_equal_brute_force.scores)
 
@@ -99,7 +126,7 @@ def test_lm_learns_pieces_from_all_words(spark):
     texts = [(i, " ".join(words[i::50])) for i in range(50)]
     probe = ["zzyzx", "thndha", "stone"]
     docs = spark.createDataFrame([*texts, *((100 + i, w) for i, w in enumerate(probe))], "doc_id long, text string").repartition(4)
-    score = {r.doc_id: r.score for r in score_documents(docs, F.col("doc_id") < 100, PIECES).where("doc_id >= 100").collect()}
+    score = {r.doc_id: r.score for r in score_documents(docs, F.col("doc_id") < 100, PIECES, rounds=4).where("doc_id >= 100").collect()}
     pieces = lattice_lm.read_pieces(PIECES)
     for _ in range(4):
         lattice, counts = Lattice(pieces), {}
@@ -108,7 +135,7 @@ def test_lm_learns_pieces_from_all_words(spark):
         pieces = lattice_lm.reestimated(pieces, counts)
     model = lattice_lm.Model(pieces, len(words) + 50, len(words) + 1, 50)
     for i, w in enumerate(probe):
-        assert score[100 + i] == pytest.approx(model.score(w.encode(), int(w in set(words))) + model.end_score, abs=1e-6)
+        assert score[100 + i] == pytest.approx(model.score(w.encode(), int(w in set(words)))[0] + model.end_score, abs=1e-6)
 
 
 def test_lm_prefers_held_out_text_to_shuffled_letters(spark):
