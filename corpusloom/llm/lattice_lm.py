@@ -2,14 +2,17 @@
 
 A text is a run of words and an end. The lattice's probability of a word is summed over every way to spell it as pieces of an
 existing vocabulary, the first of which opens the word. A piece's
-score is its log probability as a unigram, as the vocabulary has it. Forward recursion in log space gives the sum, so no segmentation is picked
+score is its log probability as a unigram. Forward recursion in log space gives the sum, so no segmentation is picked
 and none is left out. The pieces that open words and those that go on share one distribution; as the next opening piece
 ends a word, the spelt words add up to 1.
 
-``lattice_score`` is of that alone, with the share of ends that training has. In ``score`` a word that training has can
+The vocabulary's own scores are ranks of merges, so they only start the estimate: expected counts over all distinct
+training words replace them, ``ROUNDS`` times (words are spelt when they are new, so each distinct word counts once).
+``rounds=0`` leaves them as they are.
+
+``lattice_score`` is of the lattice alone, with the share of ends that training has. In ``score`` a word that training has can
 also be a unit of its own, one more arc from its beginning to its end; units give up ``DISCOUNT`` counts each to the
-spelt words, so that it too adds up to 1. ``rounds`` replaces the vocabulary's scores by expected counts over all
-distinct training words, as often; 0 of them, the default, leaves the scores as they are.
+spelt words, so that it too adds up to 1.
 
 Counts of all words don't fit one machine. The most frequent ones, a fixed number, go to every task; the rest of a
 text's words meet their counts in a shuffle on the word.
@@ -34,6 +37,8 @@ from .workspace import written
 DISCOUNT = 0.5
 #: Words whose counts every task holds.
 HEAD_WORDS = 1 << 17
+#: Rounds of estimation, each over all distinct training words. More change little: see the README.
+ROUNDS = 2
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 300_000
 LAST = 2**63 - 1
@@ -316,7 +321,7 @@ def _rare_part(model):
     return run
 
 
-def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS, rounds: int = 0) -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score, lattice_score) of every row, learning from rows where ``train``.
 
     Null counts as the empty text, whose only token is the end. A null id is a valid id and stays null. Rows equal in id
