@@ -46,6 +46,10 @@ NUMERATOR, DENOMINATOR = 3, 4
 COMMON_WORDS, HEAVY_SHINGLES = 1 << 16, 1 << 18
 #: Shingles of a cluster's block, and of a component's when links are counted.
 BLOCK_SHINGLES, COUNT_SHINGLES = 1 << 20, 1 << 19
+#: Bits that say which texts' sets are wanted: a fixed size, so that with very many only less is spared.
+BITS = 1 << 27
+#: Sets up to which those of large components are sent to all tasks, 8 bytes each.
+SENT = 1 << 20
 LAST = 2**63 - 1
 
 _U = np.uint64
@@ -182,16 +186,28 @@ def _prefixes(k: int, tables):
     return extract
 
 
-def _sets(k: int):
-    """The texts' sets, in the first column's place."""
+def _bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bit for each remainder that a hash has by ``BITS``; the driver gets its words, of which there is a fixed number."""
+    spot = F.pmod(F.col(column), F.lit(BITS))
+    words = hashes.select(spot.alias("spot")).selectExpr("CAST(spot DIV 64 AS INT) AS word", "shiftleft(1L, CAST(spot % 64 AS INT)) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(BITS // 64, dtype=np.int64)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return out.view(_U)
+
+
+def _sets(k: int, bits):
+    """(k, th, members) of the texts whose hash has its bit set."""
 
     def run(batches):
         for batch in batches:
-            for a, b, raw, off in slices(batch.column(0)):
+            spot = np.array(batch.column(1), dtype=np.int64) % BITS
+            wanted = (bits.value[spot // 64] >> (spot % 64).astype(_U)) & _U(1) > 0
+            batch = batch.filter(pa.array(wanted))
+            for a, b, raw, off in slices(batch.column(2)):
                 row, value, _, _ = shingles(raw, off, k)
                 row, value, _ = distinct_sets(row, value)
                 ends = np.searchsorted(row, np.arange(b - a + 1))
-                yield pa.RecordBatch.from_arrays([binaries(value.view(np.uint8), 8 * ends), *(c.slice(a, b - a) for c in batch.columns[1:])], names=["members", *batch.schema.names[1:]])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), binaries(value.view(np.uint8), 8 * ends)], names=["k", "th", "members"])
 
     return run
 
@@ -429,8 +445,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
     block = F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int").alias("block")
     placed = sized.join(blocks, "pivot").select("g", "one", "copies", F.struct(F.col("pivot").alias("name"), "blocks", block).alias("place"))
-    wanted = placed.groupBy("g", "one", "copies").agg(F.collect_set("place").alias("places")).select("g", "places", "copies", F.col("one.k").alias("wk"), F.col("one.th").alias("wth"))
-    found = rows.join(wanted, (F.col("k") == F.col("wk")) & (F.col("th") == F.col("wth"))).select("t", "g", "k", "copies", "places").mapInArrow(lean(_sets(k)), "members binary, g long, k long, copies long, places array<struct<name:long,blocks:int,block:int>>")
+    wanted = written(placed.groupBy("g", "one", "copies").agg(F.collect_set("place").alias("places")).select("g", "places", "copies", F.col("one.k").alias("wk"), F.col("one.th").alias("wth")), "wanted")
+    bits = spark.sparkContext.broadcast(_bitmap(wanted, "wth"))
+    own_sets = rows.select("k", "th", "t").mapInArrow(lean(_sets(k, bits)), "k long, th long, members binary")
+    found = own_sets.join(wanted, (F.col("k") == F.col("wk")) & (F.col("th") == F.col("wth"))).select("members", F.length("members").alias("size"), "g", "k", "copies", "places")
     if links:
         found = written(found, "sets")
     dealt = _dealt(found.select("g", F.col("k").alias("x"), "members", F.explode("places").alias("place")).select("g", "x", "members", "place.*"), shards, _connected, "ak long, ag long, bk long, bg long")
@@ -444,9 +462,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         own = sets.select("g", "copies").join(within, F.col("g") == F.col("ng")).groupBy("top").agg(F.count("*").alias("held"), F.sum("copies").alias("all"))
         # two sets make one link; pairs of more are decided
         pairs = within.join(own.where("held = 2").select(F.col("top").alias("ptop"), "all"), F.col("top") == F.col("ptop")).select(F.col("ng").alias("rg"), "all")
-        more = within.join(own.where("held > 2").select("top"), "top", "left_semi")
-        named = found.select("g", "members", "copies").join(more, F.col("g") == F.col("ng")).select(F.col("top").alias("name"), "g", "members", F.col("copies").alias("x"))
-        blocks = named.groupBy("name").agg(F.ceil(F.sum(F.length("members")) / F.lit(8 * COUNT_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("name", "bname")
+        more = written(within.join(own.where("held > 2").select("top"), "top", "left_semi"), "large")
+        more = F.broadcast(more) if more.count() <= SENT else more
+        named = found.join(more, F.col("g") == F.col("ng")).select(F.col("top").alias("name"), "g", "members", "size", F.col("copies").alias("x"))
+        blocks = named.groupBy("name").agg(F.ceil(F.sum("size") / F.lit(8 * COUNT_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("name", "bname")
         linked = _dealt(named.join(blocks, F.col("name") == F.col("bname")).select("name", "blocks", block, "g", "x", "members"), shards, _counted, "g long, n long")
         reached = linked.groupBy(F.col("g").alias("rg")).agg(F.sum("n").alias("reached"))
         # of a pair, "all" has the set's own copies too
