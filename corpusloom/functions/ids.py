@@ -30,6 +30,52 @@ def stable_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(canonical_json(listed), 256), 1, 24))
 
 
+def json_parts(*parts: Column) -> list[Column]:
+    """Each part as canonical JSON: texts, numbers, lists and structs; null as ``null``."""
+    alone = (F.to_json(F.array(p), {"ignoreNullFields": "false"}) for p in parts)
+    return [F.substring(t := canonical_json(x), F.lit(2), F.length(t) - 2) for x in alone]
+
+
+def typed_id(prefix: str, *parts: Column) -> Column:
+    """Like ``stable_id``, with parts of any type kept as they are."""
+    listed = F.concat(F.lit("["), F.concat_ws(",", *json_parts(*parts)), F.lit("]"))
+    return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(listed, 256), 1, 24))
+
+
+def revision_id(url: Column, text: Column) -> Column:
+    """A revision of an address: its text's hash."""
+    return stable_id("srcrev", url, sha256_text(text))
+
+
+def chunk_id(revision: Column, passage: Column, text: Column) -> Column:
+    return stable_id("chunk", revision, passage, sha256_text(text))
+
+
+def sample_id(stage: Column, url: Column, question: Column, answer: Column, entailment: Column, qa_type: Column, instr_type: Column, target: Column) -> Column:
+    return stable_id("sample", stage, url, question, answer, entailment, qa_type, instr_type, target)
+
+
+def entailment_id(revision: Column, passage: Column, index: Column, claim: Column, premises: Column) -> Column:
+    return typed_id("ent", revision, passage, index, claim, premises)
+
+
+def work_id(index: Column, sample: Column, stage: Column, passage: Column, url: Column, question: Column, answer: Column) -> Column:
+    """A row's key for resuming; its position is part of it."""
+    return typed_id("stage2qa", index, sample, stage, passage, url, question, answer)
+
+
+def golden_id(corpus: Column, index: Column, prompt: Column, completion: Column) -> Column:
+    """Of a sorted JSON object with a space behind each colon and comma."""
+    fields = {"completion": completion, "corpus": corpus, "prompt": prompt, "source_index": index}
+    cells = [F.concat(F.lit(f'"{name}": '), text) for name, text in zip(fields, json_parts(*fields.values()), strict=True)]
+    return F.concat(F.lit("golden_"), F.substring(F.sha2(F.concat(F.lit("{"), F.concat_ws(", ", *cells), F.lit("}")), 256), 1, 24))
+
+
+def version_id(name: Column, role: Column, inputs: Column, split: Column, hashes: Column, metrics: Column) -> Column:
+    """A dataset version's id; when it was made is no part of it."""
+    return typed_id("dsv", name, role, inputs, split, hashes, metrics)
+
+
 def normalised_hash(c: Column) -> Column:
     """``sha256:`` and 64 lower-case hex digits, or null."""
     found = F.regexp_extract(F.lower(c), r"^(?:sha256:)?([0-9a-f]{64})$", 1)

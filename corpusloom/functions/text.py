@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ def token_estimate(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(or_empty(c), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(or_empty(c), F.lit(" \t\n\x0b\f\r"))
 
 
 def squeeze(c: Column) -> Column:
@@ -105,6 +108,7 @@ def metric_name(c: Column) -> Column:
     return F.when(c == "", "unknown").otherwise(c)
 
 
+#: Fixed value: how a version is written.
 VERSION = r"^(latest|stable|dev|main|nightly|v?[0-9]+([.][0-9]+)+([a-zA-Z0-9.-]*)?|[0-9]{4}-[0-9]{2}-[0-9]{2})$"
 
 
@@ -192,3 +196,117 @@ def score_colour(score: Column) -> Column:
         a, b = (F.element_at(F.array(*(F.lit(c[k]) for c in SCORE_COLOURS)), low + d) for d in (0, 1))
         return F.bround(a + (b - a) * t, 0).cast("int").cast("string")
     return F.concat(F.lit("rgb("), F.concat_ws(",", channel(0), channel(1), channel(2)), F.lit(")"))
+
+
+def _first_json(text: str | None, widest: bool) -> str | None:
+    """The object in a judge's answer, as JSON text, or None."""
+    if text is None:
+        return None
+    decoder, start = json.JSONDecoder(), text.find("{")
+    tries = [lambda: json.loads(text)]
+    if start >= 0:
+        tries += [lambda: json.loads(text[start : text.rindex("}") + 1])] if widest else [lambda: decoder.raw_decode(text[start:])[0], lambda: json.loads(text[start : text.index("}", start) + 1])]
+    for parse in tries:
+        try:
+            found = parse()
+        except ValueError:
+            continue
+        return json.dumps(found, separators=(",", ":")) if isinstance(found, dict) else None
+    return None
+
+
+def judge_object(answer: Column, widest: bool = False) -> Column:
+    """The JSON object of a judge's answer, think tags and fences off; null where none parses or the value is no object.
+
+    The pairwise judge's form takes the first object, with any text behind it; ``widest`` takes all from the first brace to the last.
+    """
+    return F.pandas_udf(lambda t: t.map(lambda x: _first_json(x, widest)), "string")(strip_fences(strip_think(answer)))
+
+
+#: Fixed value: names of adapters.
+ADAPTER = r"^lora-(.+)-llama-(\d+(?:\.\d+)?-\d+b)-r(\d+)$"
+
+
+def model_parts(model: Column) -> Column:
+    """struct(target_type, corpus, base, target, rank, rank_slug) of a model's name; folders before it don't count."""
+    name = F.element_at(F.split(model, "/"), -1)
+    part = lambda i: F.regexp_extract(name, ADAPTER, i)
+    lora = name.rlike(ADAPTER)
+    plain = F.when(name.startswith("llama-") & name.endswith("-instruct"), F.regexp_replace(name, "-instruct$", "")).otherwise(name)
+    return F.struct(
+        F.when(lora, "lora").otherwise("base").alias("target_type"),
+        F.when(lora, slug(part(1))).alias("corpus"),
+        F.when(lora, F.concat(F.lit("llama-"), slug(part(2)))).otherwise(slug(plain)).alias("base"),
+        F.when(lora, F.concat(F.lit("lora-"), slug(part(1)))).otherwise("base").alias("target"),
+        F.when(lora, part(3).try_cast("int")).alias("rank"),
+        F.when(lora, F.concat(F.lit("r"), part(3).try_cast("int").cast("string"))).otherwise("base").alias("rank_slug"),
+    )
+
+
+def join_within(texts: Column, most: int, between: str = "\n\n---\n\n") -> Column:
+    """The stripped texts up to ``most`` characters, the last one cut; what stands between them isn't counted."""
+    none = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("kept"))
+
+    def add(held: Column, text: Column) -> Column:
+        part = F.substring(strip(text), F.lit(1), F.greatest(F.lit(0), F.lit(most) - held["n"]))
+        return F.struct((held["n"] + F.length(part)).alias("n"), F.when(part != "", F.concat(held["kept"], F.array(part))).otherwise(held["kept"]).alias("kept"))
+
+    return F.aggregate(texts, none, add, lambda held: F.array_join(held["kept"], between))
+
+
+def first_words(text: Column, most: int) -> Column:
+    """The text up to the end of so many words; stands in for a tokenizer's cut."""
+    return F.regexp_extract(text, rf"^(?:{SPACE}*{WORDS}){{0,{most}}}", 0)
+
+
+def neighbourhood(seed: Column, neighbours: Column, most: int, cut=first_words) -> Column:
+    """The seed and its neighbours as lettered passages, cut to ``most`` tokens by ``cut``."""
+    others = F.transform(neighbours, lambda t, i: F.concat(F.lit("Passage "), F.char(F.lit(66) + i), F.lit(":\n\n"), strip(t)))
+    whole = F.array_join(F.concat(F.array(F.concat(F.lit("Passage A (seed):\n\n"), seed)), others), "\n\n")
+    return F.when(word_count(whole) <= most, whole).otherwise(cut(whole, most)) if cut is first_words else cut(whole, most)
+
+
+def heading_path(path: Column, text: Column, *fallbacks: Column) -> Column:
+    """A list of headings; else ``a > b`` as a list; else the first filled fallback alone; else an empty list."""
+    filled = lambda xs: F.filter(F.transform(xs, strip), lambda x: x != "")
+    alone = [F.when(strip(c) != "", F.array(strip(c))) for c in fallbacks]
+    return F.coalesce(filled(path), F.when(strip(text) != "", filled(F.split(text, ">"))), *alone, F.array().cast("array<string>"))
+
+
+#: Keys whose values are secret, in lower case.
+SECRET_KEYS = ("api_key", "authorization", "token", "access_token")
+
+
+def _redacted(value):
+    if isinstance(value, dict):
+        return {k: "<redacted>" if k.lower() in SECRET_KEYS else _redacted(v) for k, v in value.items()}
+    return [_redacted(v) for v in value] if isinstance(value, list) else value
+
+
+def redact(text: Column) -> Column:
+    """JSON text, sorted and without spaces, with secret values replaced at any depth."""
+    return F.pandas_udf(lambda t: t.map(lambda x: None if x is None else json.dumps(_redacted(json.loads(x)), sort_keys=True, separators=(",", ":"))), "string")(text)
+
+
+def fill(template: str, **columns: Column) -> Column:
+    """A template with ``{name}`` for columns and doubled braces for braces; an unknown name raises."""
+    cells = []
+    for text, name, _, _ in string.Formatter().parse(template):
+        if text:
+            cells.append(F.lit(text))
+        if name is not None:
+            cells.append(or_empty(columns[name].cast("string")))
+    return F.concat(*cells) if cells else F.lit("")
+
+
+def usage(text: Column, blank_is_null: bool = False) -> Column:
+    """struct(prompt_tokens, completion_tokens, total_tokens) of JSON text, whose counts may stand in a nested object.
+
+    Missing counts are 0, a missing total is the sum. ``blank_is_null``: null where all are 0, as for logs.
+    """
+    inner = F.coalesce(*(F.when(F.get_json_object(text, f"$.{k}").startswith("{"), F.get_json_object(text, f"$.{k}")) for k in ("usage", "token_usage", "usage_metadata")), text)
+    count = lambda *names: F.coalesce(*(F.nullif(F.get_json_object(inner, f"$.{n}").try_cast("long"), F.lit(0).cast("long")) for n in names), F.lit(0).cast("long"))
+    prompt, completion = count("prompt_tokens", "input_tokens"), count("completion_tokens", "output_tokens")
+    total = F.coalesce(F.nullif(count("total_tokens"), F.lit(0).cast("long")), prompt + completion)
+    found = F.struct(prompt.alias("prompt_tokens"), completion.alias("completion_tokens"), total.alias("total_tokens"))
+    return F.when((prompt != 0) | (completion != 0) | (total != 0), found) if blank_is_null else found

@@ -53,3 +53,14 @@ def attempts(work: DataFrame, log: DataFrame, key: str, done: Column, failed: Co
     seen = log.groupBy(key).agg(F.max(F.coalesce(done, F.lit(False))).alias("_done"), F.sum(F.coalesce(failed, F.lit(False)).cast("long")).alias("_failed"))
     state = F.when(F.col("_done"), "done").when(F.col("_failed") >= most, "exhausted").otherwise("missing")
     return work.select(key).join(seen, key, "left").select(key, state.alias("state"))
+
+
+def completions_to_do(work: DataFrame, done: DataFrame, failed: DataFrame, key: str, retry_failed: bool = False) -> DataFrame:
+    """Work without an answer and, unless failures are tried again, without a failure."""
+    seen = done.select(key) if retry_failed else done.select(key).union(failed.select(key))
+    return work.join(seen, key, "left_anti")
+
+
+def batches_to_do(work: DataFrame, summaries: DataFrame, batch: str, status: str = "status", finished: str = "completed") -> DataFrame:
+    """Work of batches without a finished summary."""
+    return work.join(summaries.where(F.col(status) == finished).select(batch), batch, "left_anti")

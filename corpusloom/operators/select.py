@@ -60,3 +60,20 @@ def density_score(span: Column, labels: Column, tokens: Column) -> Column:
 
 def target_count(n: Column) -> Column:
     return F.when(n <= 100, n).otherwise(F.least(n, F.greatest(F.lit(100), F.floor(n * 0.25))))
+
+
+def top_density(rows: DataFrame, density: Column, position: str, size: int) -> DataFrame:
+    """The densest rows; ties in the order of their positions."""
+    return rows.orderBy(density.desc(), position).limit(size)
+
+
+def remainder_split(rows: DataFrame, stratum: str, key: str, share: float = 0.05, seed: int = 42) -> DataFrame:
+    """What a holdout leaves, with ``split``: max(1, floor(n * share)) of each stratum to validation, the rest to train."""
+    w = W.partitionBy(stratum)
+    place = F.row_number().over(w.orderBy(seeded(seed, F.col(key)), key))
+    return rows.withColumn("split", F.when(place <= F.greatest(F.lit(1), F.floor(F.count("*").over(w) * share)), "validation").otherwise("train"))
+
+
+def subsample(rows: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:
+    """So many rows, the same wherever they are drawn."""
+    return rows.orderBy(seeded(seed, F.col(key)), key).limit(size)

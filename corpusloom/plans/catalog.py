@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, match_queries, scalar_queries, table_queries
+from . import curation, match_queries, record_queries, scalar_queries, table_queries
 
-MODULES = [curation, scalar_queries, table_queries, match_queries]
+MODULES = [curation, scalar_queries, table_queries, match_queries, record_queries]
 
 FLAGSHIP = "flagship_reduction_summary"
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
