@@ -112,11 +112,13 @@ def metric_name(c: Column) -> Column:
 VERSION = r"^(latest|stable|dev|main|nightly|v?[0-9]+([.][0-9]+)+([a-zA-Z0-9.-]*)?|[0-9]{4}-[0-9]{2}-[0-9]{2})$"
 
 
-def url_parts(url: Column) -> Column:
-    """struct(area, version, page): the first segment that looks like a version parts the path."""
+def url_parts(url: Column, prefix: str = "") -> Column:
+    """struct(area, version, page): the first segment that looks like a version parts the path, without ``prefix`` if whole segments of it lead."""
     path = F.regexp_replace(F.regexp_replace(or_empty(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")
-    parts = F.filter(F.split(F.regexp_replace(path, "^/+|/+$", ""), "/"), lambda x: F.lit(True))
-    parts = F.when(F.regexp_replace(path, "^/+|/+$", "") == "", F.array().cast("array<string>")).otherwise(parts)
+    path, lead = F.btrim(path, F.lit("/")), prefix.strip("/")
+    if lead:
+        path = F.when(path == lead, "").when(path.startswith(lead + "/"), F.substr(path, F.lit(len(lead) + 2))).otherwise(path)
+    parts = F.when(path == "", F.array().cast("array<string>")).otherwise(F.split(path, "/"))
     n = F.size(parts)
     at = F.coalesce(F.array_min(F.filter(F.transform(parts, lambda x, i: F.when(x.rlike(VERSION), i + 1)), lambda x: x.isNotNull())), F.lit(0))
     join = lambda a: F.array_join(a, "/")
@@ -137,8 +139,23 @@ def canonical_url(url: Column) -> Column:
     return F.substring_index(strip(url), "#", 1)
 
 
-def doc_kind(url: Column) -> Column:
-    return F.when(F.lower(F.regexp_replace(or_empty(url), r"[?#].*$", "")).endswith(".pdf"), "pdf").otherwise("html")
+# fixed values: what is kept by the chunk, as text that isn't a web page
+CHUNK_MODALITIES = ["document", "image", "audio", "video"]
+CHUNK_SYSTEMS = ["document_capture", "image_dense_caption", "audio_transcript", "video_summary"]
+CHUNK_KINDS = ["downloaded_asset", "dense_caption", "video_summary_text"]
+CHUNK_ENDINGS = [".pdf", ".docx", ".pptx", ".doc", ".ppt"]
+
+
+def doc_kind(url: Column, system: Column | None = None, modality: Column | None = None, kind: Column | None = None) -> Column:
+    """pdf (kept by the chunk) by modality, source system, source kind or the address's ending, whatever the case; else html."""
+    path = F.lower(F.regexp_replace(or_empty(url), r"[?#].*$", ""))
+    by_chunk = F.lit(False)
+    for ending in CHUNK_ENDINGS:
+        by_chunk |= path.endswith(ending)
+    for value, known in ((modality, CHUNK_MODALITIES), (system, CHUNK_SYSTEMS), (kind, CHUNK_KINDS)):
+        if value is not None:
+            by_chunk |= F.lower(or_empty(value)).isin(known)
+    return F.when(by_chunk, "pdf").otherwise("html")
 
 
 def split_prompt(prompt: Column) -> Column:

@@ -29,12 +29,18 @@ def surplus(rows: DataFrame, key: Column) -> DataFrame:
     return rows.groupBy(key.alias("k")).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates"))
 
 
-def admit(rows: DataFrame, known: DataFrame, key: str, position: str) -> DataFrame:
-    """Rows with ``reason``: empty, known, repeated (an earlier row was admitted), or null if admitted."""
-    marked = rows.join(known.select(F.col(key).alias("_known")).distinct(), F.col(key) == F.col("_known"), "left")
-    able = (F.col(key) != "") & F.col("_known").isNull()
-    place = F.row_number().over(W.partitionBy(key, able).orderBy(position))
-    return marked.withColumn("reason", F.when(F.coalesce(key, F.lit("")) == "", "empty").when(F.col("_known").isNotNull(), "known").when(place > 1, "repeated")).drop("_known")
+def admit(rows: DataFrame, known: DataFrame, keys: list[str], position: str) -> DataFrame:
+    """Rows with ``reasons``, a list: empty (a key is null or empty), known, repeated (an earlier row was admitted); without any a row is admitted.
+
+    Each key's first place is an aggregate, so a hot key is combined before it is shuffled. Rows equal in keys and position are all admitted.
+    """
+    names = [f"_a{i}" for i in range(len(keys))]
+    own = [F.coalesce(F.col(k), F.lit("")).alias(a) for k, a in zip(keys, names, strict=True)]
+    marked = rows.withColumns({a: c for a, c in zip(names, own, strict=True)}).join(known.select(*own).distinct().withColumn("_known", F.lit(True)), names, "left")
+    empty, met = F.array_contains(F.array(*names), ""), F.col("_known").isNotNull()
+    first = marked.where(~empty & ~met).groupBy(*names).agg(F.min(position).alias("_first"))
+    reasons = F.array_compact(F.array(F.when(empty, "empty"), F.when(met, "known"), F.when(F.col(position) > F.col("_first"), "repeated")))
+    return marked.join(first, names, "left").withColumn("reasons", reasons).drop(*names, "_known", "_first")
 
 
 def first_n_per_slice(rows: DataFrame, slice_col: str, id_col: str, position: str, n: int = 12) -> DataFrame:

@@ -4,16 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .dedup import first_of
+from ..functions.text import or_empty, strip
+from .dedup import _one
 
 
-def must_match(left: DataFrame, right: DataFrame, key: str, position: str) -> DataFrame:
-    """Each left row with the first right row of its key. A row without one raises when it is read."""
-    first = first_of(right, F.col(key), position).withColumn("_hit", F.lit(True))
-    joined = left.join(first, key, "left")
-    sure = F.when(F.col("_hit"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("no match for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast(left.schema[key].dataType))
-    return joined.withColumn(key, sure).drop("_hit")
+def must_match(left: DataFrame, right: DataFrame, keys: str | list[str], position: str) -> DataFrame:
+    """Each left row with the first right row of its keys, strings stripped. A row without one, or with a null key, raises when it is read."""
+    keys = [keys] if isinstance(keys, str) else keys
+    kinds = {k: left.schema[k].dataType for k in keys}
+    bare = {f"_m{i}": strip(F.col(k)) if kinds[k] == StringType() else F.col(k) for i, k in enumerate(keys)}
+    solid = F.lit(True)
+    for k in keys:
+        solid &= F.col(k).isNotNull()
+    # without null keys, and then without the right side's own spelling of them
+    first = _one(right.where(solid).withColumns(bare), [F.col(x) for x in bare], F.col(position)).drop(*keys).withColumn("_hit", F.lit(True))
+    joined = left.withColumns({x: F.when(solid, v) for x, v in bare.items()}).join(first, list(bare), "left")
+    shown = F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
+    sure = F.when(F.col("_hit"), F.col(keys[0])).otherwise(F.raise_error(F.concat(F.lit("no match for "), shown)).cast(kinds[keys[0]]))
+    return joined.withColumn(keys[0], sure).drop("_hit", *bare)
+
+
+def accepted_pairs(pairs: Column, requested: Column, key: str = "key", question: str = "question") -> Column:
+    """Of a batched answer's pairs, in order: those with a requested key not answered yet and a question not asked yet, once each.
+
+    ``pairs`` are structs, ``requested`` keys. A dropped pair takes neither its key nor its question. Questions are equal if
+    their letters, digits and underscores are, in lower case; empty ones repeat freely.
+    """
+    asked = lambda p: F.regexp_replace(F.lower(or_empty(p[question])), r"(?U)\W+", "")
+    start = F.slice(pairs, 1, 0)
+
+    def step(kept, p):
+        again = (asked(p) != "") & F.exists(kept, lambda o: asked(o) == asked(p))
+        fresh = F.array_contains(requested, p[key]) & ~F.exists(kept, lambda o: o[key] == p[key]) & ~again
+        return F.when(fresh, F.concat(kept, F.array(p))).otherwise(kept)
+
+    return F.aggregate(pairs, start, step)
 
 
 def first_hit(rows: DataFrame, id_col: str, keys: list[Column], lookup: DataFrame, key: str, value: str, position: str) -> DataFrame:

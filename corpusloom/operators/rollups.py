@@ -90,3 +90,93 @@ def estimated_tokens(records: Column, prompt_mean: Column, completion_mean: Colu
 def plan_totals(requests: DataFrame, gap: str) -> DataFrame:
     """One row: distinct gaps, seed records, records and pairs asked for."""
     return requests.agg(F.countDistinct(gap).alias("gaps_requested"), F.count("*").alias("seed_records"), F.coalesce(F.sum("num_records"), F.lit(0)).alias("records_requested"), F.coalesce(F.sum("pairs_needed"), F.lit(0)).alias("pairs_requested"))
+
+
+def composition(rows: DataFrame, ids: list[str], synthetic: Column) -> DataFrame:
+    """One row: rows, distinct values of each id column (empty ones not counted), synthetic rows and their share (0 without rows).
+
+    The ids themselves stay rows of a table: ``rows.select(id).distinct()``.
+    """
+    made, n = F.count_if(synthetic), F.count("*")
+    counts = [F.countDistinct(F.nullif(F.col(x).cast("string"), F.lit(""))).alias(f"{x}_count") for x in ids]
+    return rows.agg(n.alias("rows"), *counts, made.alias("synthetic"), F.when(n > 0, F.bround(made / n, 6)).otherwise(0.0).alias("synthetic_ratio"))
+
+
+def value_counts(rows: DataFrame, columns: list[str], lists: list[str]) -> DataFrame:
+    """(field, value, n): rows of each value; null and empty values, and empty lists, count as unknown."""
+    one = [F.struct(F.lit(x).alias("field"), F.array(F.col(x).cast("string")).alias("v")) for x in columns]
+    many = [F.struct(F.lit(x).alias("field"), F.col(x).cast("array<string>").alias("v")) for x in lists]
+    fields = rows.select(F.explode(F.array(*one, *many)).alias("f"))
+    return fields.select("f.field", F.explode_outer("f.v").alias("value")).groupBy("field", F.coalesce(F.nullif("value", F.lit("")), F.lit("unknown")).alias("value")).agg(F.count("*").alias("n"))
+
+
+def curation_metrics(rows: DataFrame, accepted: Column, reason: Column) -> DataFrame:
+    """(kind, reason, n, share): accepted rows, and rejected ones by reason (null and empty: unknown), as shares of all rows. Null isn't accepted."""
+    ok = F.coalesce(accepted, F.lit(False))
+    why = F.coalesce(F.nullif(reason, F.lit("")), F.lit("unknown"))
+    g = rows.groupBy(F.when(ok, "accepted").otherwise("rejected").alias("kind"), F.when(ok, "").otherwise(why).alias("reason")).agg(F.count("*").alias("n"))
+    return g.join(F.broadcast(rows.agg(F.count("*").alias("_all")))).withColumn("share", F.bround(F.col("n") / F.col("_all"), 6)).drop("_all")  # one row
+
+
+def rejections(rows: DataFrame, accepted: Column, reason: Column, *kept: str) -> DataFrame:
+    """The kept columns of rejected rows, and why they were (null if nothing says)."""
+    return rows.where(~F.coalesce(accepted, F.lit(False))).select(*kept, reason.alias("rejection_reason"))
+
+
+def _passes(criteria: list[str]) -> Column:
+    every = F.lit(True)
+    for x in criteria:
+        every &= F.coalesce(F.col(x), F.lit(False))
+    return every
+
+
+def gate_report(rows: DataFrame, criteria: list[str], threshold: float = 0.9) -> DataFrame:
+    """One row: rows that meet each criterion and all of them, the rounded rate, and whether the unrounded rate reaches the threshold (0 without rows)."""
+    n, every = F.count("*"), F.count_if(_passes(criteria))
+    rate = F.when(n > 0, every / n).otherwise(0.0)
+    return rows.agg(n.alias("rows"), *(F.count_if(F.col(x)).alias(f"{x}_count") for x in criteria), every.alias("all_count"), F.bround(rate, 3).alias("pass_rate"), (rate >= threshold).alias("passed"))
+
+
+def gate_failures(rows: DataFrame, criteria: list[str]) -> DataFrame:
+    """The rows that miss a criterion; null is a miss."""
+    return rows.where(~_passes(criteria))
+
+
+def unresolved(errors: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+    """Errors whose key has no score; those without a key stay."""
+    return errors.join(scores.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
+def score_summary(scores: DataFrame, errors: DataFrame, key: str, position: str, axes: list[str], counts: list[str]) -> DataFrame:
+    """One row over the latest score of each key: rows, means without 0 and null, sums of counts, and errors left.
+
+    A failed key counts once, each error without a key by itself. Scores without a key aren't among the latest.
+    """
+    last = scores.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.max_by(x, position).alias(x) for x in dict.fromkeys([*axes, *counts])))
+    done = last.agg(F.count("*").alias("rows_scored"), *(F.avg(F.when(F.col(x) != 0, F.col(x))).alias(f"mean_{x}") for x in axes), *(F.coalesce(F.sum(x), F.lit(0)).alias(f"total_{x}") for x in counts))
+    left = unresolved(errors, scores, key).agg((F.countDistinct(key) + F.count_if(F.col(key).isNull())).alias("rows_failed"))
+    raw = scores.agg(F.count("*").alias("rows_scored_raw"))
+    tried = errors.agg(F.count("*").alias("error_attempts"))
+    return done.join(F.broadcast(left)).join(F.broadcast(raw)).join(F.broadcast(tried)).withColumn("duplicates", F.col("rows_scored_raw") - F.col("rows_scored"))  # one row each
+
+
+def pairwise_summary(rows: DataFrame, winner: str, agreement: str, counts: list[str]) -> DataFrame:
+    """(kind, name, n, rate): rows compared; wins of left, right and tie, which any other winner is; agreements (null and empty: unknown); sums of counts.
+
+    One pass over the rows, which aren't made distinct; rates are of the rows compared, null for sums.
+    """
+    side = F.when(F.col(winner).isin("left", "right"), F.col(winner)).otherwise("tie")
+    g = rows.groupBy(side.alias("side"), F.coalesce(F.nullif(agreement, F.lit("")), F.lit("unknown")).alias("agreement")).agg(F.count("*").alias("n"), *(F.sum(x).cast("long").alias(f"_{i}") for i, x in enumerate(counts)))
+    item = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"), n.alias("n"))
+    sides = [item("wins", F.lit(x), F.when(F.col("side") == x, F.col("n")).otherwise(0)) for x in ("left", "right", "tie")]
+    sums = [item("tokens", F.lit(x), F.col(f"_{i}")) for i, x in enumerate(counts)]
+    long = g.select(F.explode(F.array(item("rows", F.lit("compared"), F.col("n")), *sides, item("agreement", F.col("agreement"), F.col("n")), *sums)).alias("x")).groupBy("x.kind", "x.name").agg(F.coalesce(F.sum("x.n"), F.lit(0)).alias("n"))
+    total = rows.agg(F.count("*").alias("_all"))
+    return long.join(F.broadcast(total)).withColumn("rate", F.when(F.col("kind") != "tokens", F.col("n") / F.col("_all"))).drop("_all")  # one row
+
+
+def weighted_means(rows: DataFrame, metric: str, mean: str, counts: list[str]) -> DataFrame:
+    """(metric, mean, count): means weighted by the first of ``counts`` that isn't null or 0, 1 at least; rows without a mean go."""
+    n = F.greatest(F.lit(1), F.coalesce(*(F.nullif(F.col(x).cast("long"), F.lit(0)) for x in counts), F.lit(1))).alias("_n")
+    g = rows.where(F.col(mean).isNotNull()).select(F.col(metric).alias("metric"), F.col(mean).alias("_m"), n).groupBy("metric")
+    return g.agg((F.sum(F.col("_m") * F.col("_n")) / F.sum("_n")).alias("mean"), F.sum("_n").alias("count"))

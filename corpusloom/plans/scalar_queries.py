@@ -50,7 +50,8 @@ SELECT page_id, CASE WHEN i > 0 THEN array_to_string(p[1:i-1], '/') WHEN n <= 1
   CASE WHEN i > 0 THEN p[i] ELSE '' END AS version, CASE WHEN i > 0 THEN array_to_string(p[i+1:n], '/') WHEN n > 1 THEN p[n] ELSE '' END AS page FROM b"""
 query("t16_url_variants", "pages", "page_id", {"variants": lambda: F.array_join(T.url_variants(c("url")), " ")}, {"variants": "array_to_string([v FOR v, i IN [url, regexp_replace(url,'#.*$',''), regexp_replace(url,'/+$',''), regexp_replace(regexp_replace(url,'#.*$',''),'/+$','')] IF v <> '' AND list_position([url, regexp_replace(url,'#.*$',''), regexp_replace(url,'/+$',''), regexp_replace(regexp_replace(url,'#.*$',''),'/+$','')], v) = i], ' ')"})
 query("t17_canonical_url", "pages", "page_id", {"canonical": lambda: T.canonical_url(c("url"))}, {"canonical": rf"split_part(regexp_replace(url, '^{SP}+|{SP}+$', '', 'g'), '#', 1)"})
-query("t18_doc_kind", "pages", "page_id", {"kind": lambda: T.doc_kind(F.concat(c("url"), F.when(c("page_id") % 3 == 0, ".PDF?x").otherwise("")))}, {"kind": "CASE WHEN lower(regexp_replace(url || CASE WHEN page_id % 3 = 0 THEN '.PDF?x' ELSE '' END, '[?#].*$', '')) LIKE '%.pdf' THEN 'pdf' ELSE 'html' END"})
+SYSTEM = "CASE page_id % 5 WHEN 0 THEN 'Video_Summary' WHEN 1 THEN 'web' END"
+query("t18_doc_kind", "pages", "page_id", {"kind": lambda: T.doc_kind(F.concat(c("url"), F.when(c("page_id") % 3 == 0, ".DOCX?x").otherwise("")), F.expr(SYSTEM))}, {"kind": rf"CASE WHEN lower(coalesce({SYSTEM}, '')) = 'video_summary' OR regexp_matches(lower(regexp_replace(url || CASE WHEN page_id % 3 = 0 THEN '.DOCX?x' ELSE '' END, '[?#].*$', '')), '[.](pdf|docx?|pptx?)$') THEN 'pdf' ELSE 'html' END"})
 BAKED = "text || chr(10) || 'Question: a' || chr(10) || 'Question: ' || source"
 QUERIES["t19_split_prompt"] = lambda spark, folder: table(spark, folder, "documents").select("doc_id", T.split_prompt(F.concat(c("text"), F.lit("\nQuestion: a\nQuestion: "), c("source"))).alias("p")).select("doc_id", "p.*")
 ORACLE_SQL["t19_split_prompt"] = rf"SELECT doc_id, regexp_replace(regexp_extract({BAKED}, '(?s)^(.*)\nQuestion:(.*)$', 1), '^{SP}+|{SP}+$', '', 'g') AS context, regexp_replace(regexp_extract({BAKED}, '(?s)^(.*)\nQuestion:(.*)$', 2), '^{SP}+|{SP}+$', '', 'g') AS question FROM documents"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import prompt_key, strip
 from ..operators import dedup as D
+from ..operators import rollups as U
 from ..operators import select as S
 from ..sources.tables import table
 
@@ -50,10 +51,10 @@ def d3(spark, folder):
     return table(spark, folder, "documents").groupBy(F.md5("text").alias("h")).agg(F.min("doc_id").alias("doc_id"))
 
 
-@query("d5_admission", f"SELECT doc_id, CASE WHEN k = '' THEN 'empty' WHEN k IN (SELECT {KEY} FROM benchmark) THEN 'known' WHEN r > 1 THEN 'repeated' END AS reason FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS r FROM (SELECT doc_id, {KEY} AS k FROM documents))")
+@query("d5_admission", f"SELECT doc_id, concat_ws(',', CASE WHEN k = '' THEN 'empty' END, CASE WHEN known THEN 'known' END, CASE WHEN k <> '' AND NOT known AND r > 1 THEN 'repeated' END) AS reasons FROM (SELECT doc_id, k, k IN (SELECT {KEY} FROM benchmark) AS known, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS r FROM (SELECT doc_id, {KEY} AS k FROM documents))")
 def d5(spark, folder):
     keyed = lambda t, i: table(spark, folder, t).select(i, F.lower(strip(c("text"))).alias("key"))
-    return D.admit(keyed("documents", "doc_id"), keyed("benchmark", "item_id"), "key", "doc_id").select("doc_id", "reason")
+    return D.admit(keyed("documents", "doc_id"), keyed("benchmark", "item_id"), ["key"], "doc_id").select("doc_id", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query("d6_latest_by_key", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")
@@ -162,27 +163,58 @@ def a5(spark, folder):
     return g.withColumn("severity", F.when(c("target") <= 0, "low").when((c("observed") == 0) & (c("target") >= 10), "critical").when(missing >= 0.75, "high").when(missing >= 0.5, "medium").otherwise("low"))
 
 
-@query("a10_composition", "SELECT coalesce(source,'unknown') AS slice, count(DISTINCT lang) AS langs, count(*) AS rows, string_agg(DISTINCT lang, ',' ORDER BY lang) AS lang_list FROM documents GROUP BY 1")
+@query("a10_composition", "SELECT count(*) AS rows, count(DISTINCT nullif(doc_id::VARCHAR, '')) AS doc_id_count, count(DISTINCT nullif(lang, '')) AS lang_count, count(DISTINCT nullif(source, '')) AS source_count, count(*) FILTER (source = 'web') AS synthetic, round_even(count(*) FILTER (source = 'web') / count(*), 6) AS synthetic_ratio FROM documents")
 def a10(spark, folder):
-    return table(spark, folder, "documents").groupBy(F.coalesce("source", F.lit("unknown")).alias("slice")).agg(F.countDistinct("lang").alias("langs"), F.count("*").alias("rows"), F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("lang_list"))
+    return U.composition(table(spark, folder, "documents"), ["doc_id", "lang", "source"], c("source") == "web")
 
 
-@query("a13_curation_metrics", "SELECT coalesce(CAST(quality AS VARCHAR), 'unknown') AS reason, count(*) AS n, round_even(count(*) / (SELECT count(*) FROM labels), 6) AS share FROM labels GROUP BY 1")
+@query("a10_value_counts", "SELECT 'lang' AS field, coalesce(nullif(lang, ''), 'unknown') AS value, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT 'words', coalesce(w, 'unknown'), count(*) FROM (SELECT unnest(CASE WHEN len(l) = 0 THEN [NULL] ELSE l END) AS w FROM (SELECT [x FOR x IN string_split(coalesce(text, ''), ' ') IF x <> ''][1:3] AS l FROM documents)) GROUP BY 2")
+def a10_counts(spark, folder):
+    first = F.slice(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != ""), 1, 3)
+    return U.value_counts(table(spark, folder, "documents").withColumn("words", first), ["lang"], ["words"])
+
+
+JUDGED = "(SELECT doc_id, quality = 1 AS good, toxic = 0 AS clean FROM labels)"
+
+
+def judged(spark, folder):
+    return table(spark, folder, "labels").select("doc_id", (c("quality") == 1).alias("good"), (c("toxic") == 0).alias("clean"))
+
+
+@query("a13_curation_metrics", f"WITH r AS (SELECT CASE WHEN good THEN NULL WHEN clean THEN 'poor' END AS reason, coalesce(good, false) AS ok FROM {JUDGED}), n AS (SELECT count(*) AS t FROM r) SELECT 'accepted' AS kind, '' AS reason, count(*) AS n, round_even(count(*) / any_value(t), 6) AS share FROM r, n WHERE ok UNION ALL SELECT 'rejected', coalesce(reason, 'unknown'), count(*), round_even(count(*) / any_value(t), 6) FROM r, n WHERE NOT ok GROUP BY 2")
 def a13(spark, folder):
-    labels = table(spark, folder, "labels")
-    return labels.groupBy(F.coalesce(c("quality").cast("string"), F.lit("unknown")).alias("reason")).agg(F.count("*").alias("n")).join(F.broadcast(labels.agg(F.count("*").alias("all")))).select("reason", "n", F.bround(c("n") / c("all"), 6).alias("share"))  # one row
+    return U.curation_metrics(judged(spark, folder), c("good"), F.when(c("clean"), "poor"))
+
+
+@query("a13_rejection_report", f"SELECT doc_id, CASE WHEN clean THEN 'poor' END AS rejection_reason FROM {JUDGED} WHERE NOT coalesce(good, false)")
+def a13_report(spark, folder):
+    return U.rejections(judged(spark, folder), c("good"), F.when(c("clean"), "poor"), "doc_id")
 
 
-@query("a15_gate_report", "SELECT count(*) AS rows, count(*) FILTER (quality = 1) AS passed, round_even(count(*) FILTER (quality = 1) / count(*), 3) AS pass_rate, count(*) FILTER (quality = 1) / count(*) >= 0.9 AS gate FROM labels")
+@query("a15_gate_report", f"SELECT count(*) AS rows, count(*) FILTER (good) AS good_count, count(*) FILTER (clean) AS clean_count, count(*) FILTER (good AND clean) AS all_count, round_even(count(*) FILTER (good AND clean) / count(*), 3) AS pass_rate, count(*) FILTER (good AND clean) / count(*) >= 0.9 AS passed FROM {JUDGED}")
 def a15(spark, folder):
-    rate = F.count_if(c("quality") == 1) / F.count("*")
-    return table(spark, folder, "labels").agg(F.count("*").alias("rows"), F.count_if(c("quality") == 1).alias("passed"), F.bround(rate, 3).alias("pass_rate"), (rate >= 0.9).alias("gate"))
+    return U.gate_report(judged(spark, folder), ["good", "clean"])
 
 
-@query("a16_score_summary", "WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1) SELECT event_type, count(*) AS scored, round(avg(nullif(value, 0)), 6) AS mean_score FROM l GROUP BY event_type")
+@query("a15_gate_failures", f"SELECT doc_id, good, clean FROM {JUDGED} WHERE NOT (coalesce(good, false) AND coalesce(clean, false))")
+def a15_failures(spark, folder):
+    return U.gate_failures(judged(spark, folder), ["good", "clean"])
+
+
+LAST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events WHERE event_type <> 'error') WHERE r = 1)"
+
+
+@query("a16_score_summary", f"WITH l AS {LAST}, e AS (SELECT * FROM events WHERE event_type = 'error') SELECT any_value(a) AS rows_scored_raw, count(*) AS rows_scored, any_value(a) - count(*) AS duplicates, (SELECT count(DISTINCT user_id) FROM e WHERE user_id NOT IN (SELECT user_id FROM l)) AS rows_failed, (SELECT count(*) FROM e) AS error_attempts, round(avg(nullif(value, 0)), 6) AS mean_value, sum(event_id)::BIGINT AS total_event_id FROM l, (SELECT count(*) AS a FROM events WHERE event_type <> 'error')")
 def a16(spark, folder):
-    last = D.latest_of(table(spark, folder, "events").select("user_id", "event_id", "event_type", "value"), c("user_id"), "event_id")
-    return last.groupBy("event_type").agg(F.count("*").alias("scored"), F.round(F.avg(F.nullif("value", F.lit(0.0))), 6).alias("mean_score"))
+    events = table(spark, folder, "events")
+    got = U.score_summary(events.where("event_type <> 'error'"), events.where("event_type = 'error'"), "user_id", "event_id", ["value"], ["event_id"])
+    return got.withColumn("mean_value", F.round("mean_value", 6))
+
+
+@query("a16_unresolved", "SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND user_id NOT IN (SELECT user_id FROM events WHERE value > 300)")
+def a16_unresolved(spark, folder):
+    events = table(spark, folder, "events")
+    return U.unresolved(events.where("event_type = 'error'"), events.where("value > 300"), "user_id").select("user_id").distinct()
 
 
 SIDES = "(SELECT user_id, CASE abs(event_id) % 3 WHEN 0 THEN 'left' WHEN 1 THEN 'right' ELSE 'tie' END AS side FROM events)"
@@ -197,11 +229,11 @@ def a18(spark, folder):
     return g.select("user_id", F.when(agree, F.element_at("s", 1)).when(weak, F.try_element_at(firm, F.lit(1))).otherwise("tie").alias("winner"), F.when(agree, "agree").when(weak, "weak").otherwise("conflict").alias("agreement"))
 
 
-@query("a17_pairwise_summary", f"SELECT side, count(*) AS wins, round(count(*) / (SELECT count(*) FROM events), 6) AS rate FROM {SIDES} GROUP BY side")
+@query("a17_pairwise_summary", f"WITH p AS (SELECT CASE side WHEN 'tie' THEN 'none' ELSE side END AS winner, nullif(event_type, 'click') AS agreement, event_id, value FROM {SIDES} JOIN (SELECT event_id, event_type, value FROM events) USING (event_id)), n AS (SELECT count(*) AS t FROM p) SELECT 'rows' AS kind, 'compared' AS name, t AS n, 1.0 AS rate FROM n UNION ALL SELECT 'wins', w, count(winner), round(count(winner) / any_value(t), 6) FROM (VALUES ('left'), ('right'), ('tie')) v(w) CROSS JOIN n LEFT JOIN (SELECT CASE WHEN winner IN ('left', 'right') THEN winner ELSE 'tie' END AS winner FROM p) q ON w = winner GROUP BY w UNION ALL SELECT 'agreement', coalesce(agreement, 'unknown'), count(*), round(count(*) / any_value(t), 6) FROM p, n GROUP BY 2 UNION ALL SELECT 'tokens', 'event_id', sum(event_id)::BIGINT, NULL FROM p".replace("SELECT user_id, CASE", "SELECT event_id, CASE"))
 def a17(spark, folder):
-    events = table(spark, folder, "events")
-    side = events.select(F.element_at(F.array(F.lit("left"), F.lit("right"), F.lit("tie")), (F.abs("event_id") % 3 + 1).cast("int")).alias("side"))
-    return side.groupBy("side").agg(F.count("*").alias("wins")).join(F.broadcast(events.agg(F.count("*").alias("all")))).select("side", "wins", F.round(c("wins") / c("all"), 6).alias("rate"))  # one row
+    side = F.element_at(F.array(F.lit("left"), F.lit("right"), F.lit("none")), (F.abs("event_id") % 3 + 1).cast("int"))
+    rows = table(spark, folder, "events").select("event_id", side.alias("winner"), F.nullif("event_type", F.lit("click")).alias("agreement"))
+    return U.pairwise_summary(rows, "winner", "agreement", ["event_id"]).withColumn("rate", F.round("rate", 6))
 
 
 @query("a19_token_rollup", "SELECT coalesce(event_type, 'all') AS kind, count(*) AS rows, sum(user_id)::BIGINT AS tokens, round(sum(user_id) / count(*), 6) AS average FROM events GROUP BY GROUPING SETS ((event_type), ())")
@@ -210,9 +242,10 @@ def a19(spark, folder):
     return g.select(F.coalesce("event_type", F.lit("all")).alias("kind"), "rows", "tokens", F.round(c("tokens") / c("rows"), 6).alias("average"))
 
 
-@query("a20_weighted_mean", "SELECT l_returnflag, round(sum(l_discount * l_quantity) / sum(l_quantity), 6) AS mean FROM lineitem GROUP BY l_returnflag")
+@query("a20_weighted_mean", "SELECT metric, round(sum(mean * n) / sum(n), 6) AS mean, sum(n)::BIGINT AS count FROM (SELECT l_returnflag AS metric, l_discount::DOUBLE AS mean, greatest(1, coalesce(nullif(CASE WHEN l_linenumber = 1 THEN 0 ELSE l_linenumber END, 0), nullif(CAST(floor(l_quantity) AS BIGINT), 0), 0)) AS n FROM lineitem WHERE l_discount IS NOT NULL) GROUP BY metric")
 def a20(spark, folder):
-    return table(spark, folder, "lineitem").groupBy("l_returnflag").agg(F.round(F.sum(c("l_discount") * c("l_quantity")) / F.sum("l_quantity"), 6).alias("mean"))
+    rows = table(spark, folder, "lineitem").select(c("l_returnflag").alias("metric"), c("l_discount").cast("double").alias("mean"), F.when(c("l_linenumber") != 1, c("l_linenumber")).otherwise(0).alias("count"), F.floor("l_quantity").alias("samples"))
+    return U.weighted_means(rows, "metric", "mean", ["count", "samples"]).withColumn("mean", F.round("mean", 6))
 
 
 @query("a23_inventory", "SELECT split_part(regexp_replace(url, '^[a-z]+://', ''), '/', 1) AS host, count(*) AS urls, max(url) AS last_url FROM pages GROUP BY 1")

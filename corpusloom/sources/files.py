@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import math
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -92,6 +97,66 @@ def file_manifest(spark: SparkSession, folder: str, glob: str = "*") -> DataFram
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.when(F.col("path").endswith(".jsonl"), lines).alias("rows"))
 
 
+#: Columns of ``tensor_headers``.
+_TENSORS = "path string, error string, header_bytes long, dtypes map<string,long>, tensors long, elements long, down long, up long, keys array<string>"
+
+
+def tensor_headers(paths: DataFrame, most: int = 100_000_000) -> DataFrame:
+    """(path, error, header_bytes, dtypes, tensors, elements, down, up, keys) of each file of tensors in column ``path``.
+
+    Such a file begins with a little-endian 64-bit length and a JSON header of that many bytes, which is all that is read.
+    ``dtypes`` counts tensors by type, ``down`` and ``up`` those of the two adapter factors, ``keys`` are the first eight.
+    A file that is missing, short, cut or longer in its header than ``most`` gives a row with an error. Paths are read where
+    tasks run, so they must lie in a shared place; a scheme that Arrow knows may lead.
+    """
+
+    def scan(path: str) -> tuple:
+        system, place = fs.FileSystem.from_uri(path)
+        with system.open_input_stream(place) as f:
+            lead = f.read(8)
+            if len(lead) != 8:
+                raise ValueError("too short for a header length")
+            size = int.from_bytes(lead, "little")
+            if size > most:
+                raise ValueError("header is too long")
+            raw = f.read(size)
+        if len(raw) != size:
+            raise ValueError("header is cut")
+        header = json.loads(raw)
+        if not isinstance(header, dict):
+            raise ValueError("header is not an object")
+        tensors = {k: v for k, v in header.items() if k != "__metadata__"}
+        dtypes: dict[str, int] = {}
+        for v in tensors.values():
+            dtypes[str(v.get("dtype"))] = dtypes.get(str(v.get("dtype")), 0) + 1
+        elements = sum(math.prod(v.get("shape", [])) for v in tensors.values())
+        down, up = (sum(part in k for k in tensors) for part in ("lora_A", "lora_B"))
+        return None, size, dtypes, len(tensors), elements, down, up, list(tensors)[:8]
+
+    names = [x.split()[0] for x in _TENSORS.split(", ")]
+
+    def run(frames):
+        for frame in frames:
+            out = []
+            for path in frame["path"]:
+                try:
+                    out.append((path, *scan(path)))
+                except Exception as e:  # noqa: BLE001 - whatever is wrong with a file is its row's error
+                    out.append((path, str(e) or type(e).__name__, None, None, None, None, None, None, None))
+            yield pd.DataFrame(out, columns=names, dtype=object)
+
+    return paths.select(F.col("path").cast("string")).mapInPandas(run, _TENSORS)
+
+
+def adapter_status(scanned: DataFrame) -> DataFrame:
+    """Scanned files with ``errors``, ``warnings`` and ``status``: error, warn or ok."""
+    one_sided = F.col("error").isNull() & ((F.col("down") == 0) | (F.col("up") == 0))
+    rest = F.col("tensors") - F.col("down") - F.col("up")
+    errors = F.array_compact(F.array(F.when(F.col("error").isNotNull(), F.concat(F.lit("unreadable header: "), "error")), F.when(one_sided, "not both adapter factors")))
+    warnings = F.array_compact(F.array(F.when(rest > 0, F.concat(rest.cast("string"), F.lit(" other tensors")))))
+    return scanned.withColumns({"errors": errors, "warnings": warnings}).withColumn("status", F.when(F.size("errors") > 0, "error").when(F.size("warnings") > 0, "warn").otherwise("ok"))
+
+
 def sse_response(body: Column) -> Column:
     """struct(content, id, model) of a streamed answer: the deltas put together, the last id and model that aren't empty."""
     data = F.filter(F.transform(F.split(body, r"\r?\n"), lambda x: F.trim(x)), lambda x: x.startswith("data:"))
