@@ -49,11 +49,20 @@ def unended_share(text: Column) -> Column:
 
 
 def top_gram_share(rows: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:
-    """(id, share): how much of a text's n-word runs its most frequent one is."""
+    """(id, share): how much of each text's n-word runs its most frequent one is; texts with fewer words have no row.
+
+    A text's runs are sorted and counted inside its row, so nothing is shuffled.
+    """
     words = F.split(F.lower(F.trim(F.regexp_replace(or_empty(F.col(text_col)), r"[ \t\n\x0B\f\r]+", " "))), " ")
-    runs = F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " ")))
-    each = rows.select(F.col(id_col).alias("id"), words.alias("w")).select("id", F.explode(runs).alias("gram")).groupBy("id", "gram").count()
-    return each.groupBy("id").agg((F.max("count") / F.sum("count")).alias("share"))
+    runs = F.sort_array(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " ")))
+
+    def step(s, gram):
+        again = F.when(s["gram"] == gram, s["again"] + 1).otherwise(1)
+        return F.struct(gram.alias("gram"), again.alias("again"), F.greatest(s["most"], again).alias("most"))
+
+    start = F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).alias("again"), F.lit(0).alias("most"))
+    share = F.aggregate("runs", start, step, lambda s: s["most"]) / F.size("runs")
+    return rows.select(F.col(id_col).alias("id"), words.alias("w")).where(F.size("w") >= n).select("id", runs.alias("runs")).select("id", share.alias("share"))
 
 
 #: Filters by name, for lists of (name, limits) in a configuration.

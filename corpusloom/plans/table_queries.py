@@ -111,7 +111,7 @@ def j11(spark, folder):
 
 @query("j13_zip_by_position", "SELECT a.pos, a.doc_id, b.item_id FROM (SELECT row_number() OVER (ORDER BY doc_id) AS pos, doc_id FROM labels) a JOIN (SELECT row_number() OVER (ORDER BY item_id) AS pos, item_id FROM benchmark) b USING (pos)")
 def j13(spark, folder):
-    ranked = lambda t, i: table(spark, folder, t).select(i).withColumn("pos", F.row_number().over(W.orderBy(i)))
+    ranked = lambda t, i: S.numbered(table(spark, folder, t).select(i), [], [c(i)], "pos")
     return ranked("labels", "doc_id").join(ranked("benchmark", "item_id"), "pos").select("pos", "doc_id", "item_id")
 
 
