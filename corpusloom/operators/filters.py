@@ -9,9 +9,24 @@ from ..functions.text import or_empty, question_key, strip, word_count
 
 #: How a licence text begins, what it says, and address parts of pages without content.
 LICENCE_PREFIXES = ("apache license", "mit license", "copyright (c)", "bsd license", "gnu general public", "mozilla public license", "terms and conditions")
-LICENCE_TEXT = r"""(?is)(apache\.org/licenses/LICENSE-2\.0|WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND|THIS SOFTWARE IS PROVIDED\s+["']?AS[- ]IS|Redistribution and use in source and binary forms|Permission is hereby granted, free of charge|under the terms of the GNU|Lesser General Public License|Mozilla Public License|creativecommons\.org/licenses)"""
+LICENCE_PHRASES = (
+    "apache.org/licenses/LICENSE-2.0",
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
+    "THIS SOFTWARE IS PROVIDED",
+    "Redistribution and use in source and binary forms",
+    "Permission is hereby granted, free of charge",
+    "under the terms of the GNU",
+    "Lesser General Public License",
+    "Mozilla Public License",
+    "creativecommons.org/licenses",
+)
+#: What must follow a phrase.
+LICENCE_TAILS = {"THIS SOFTWARE IS PROVIDED": r"""\s+["']?AS[- ]IS"""}
 BLOCKED_URL_PARTS = ("acknowledgement", "acknowledge", "third-party", "thirdparty", "open-source", "opensource", "legal", "license-notice")
 
+LICENCE_TEXT = "(?is)(" + "|".join(p.replace(".", r"\.") + LICENCE_TAILS.get(p, "") for p in LICENCE_PHRASES) + ")"
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+
 
 def is_noise(text: Column, url: Column | None = None, least_tokens: int = 60, tokens: Column | None = None) -> Column:
     """Too short, a blocked address, a licence, a list of links, or almost only code. ``tokens``: a count other than words."""
@@ -19,13 +34,17 @@ def is_noise(text: Column, url: Column | None = None, least_tokens: int = 60, to
     noisy = (word_count(bare) if tokens is None else tokens) < least_tokens
     if url is not None:
         noisy |= F.lower(or_empty(url)).rlike("|".join(BLOCKED_URL_PARTS))
-    noisy |= F.lower(bare).rlike("^(" + "|".join(p.replace("(", r"\(").replace(")", r"\)") for p in LICENCE_PREFIXES) + ")")
-    noisy |= bare.rlike(LICENCE_TEXT)
-    lines = F.split(bare, "\n")
+    low = F.lower(bare)
+    for phrase in LICENCE_PREFIXES:
+        noisy |= low.startswith(phrase)
+    for phrase in LICENCE_PHRASES:  # plain searches; a pattern only where a phrase needs its tail
+        found = F.contains(low, F.lit(phrase.lower()))
+        noisy |= found & low.rlike("(?s)" + phrase.lower() + LICENCE_TAILS[phrase].lower()) if phrase in LICENCE_TAILS else found
+    lines = F.split(bare, LINE_END)
     links = F.size(F.filter(lines, lambda x: x.rlike(r"^\s*- \[")))
-    noisy |= (F.size(lines) > 5) & (links / F.size(lines) > 0.6)
-    code = F.aggregate(F.regexp_extract_all(bare, F.lit(r"(?s)```.*?```"), F.lit(0)), F.lit(0), lambda n, x: n + F.length(x))
-    return noisy | ((F.length(bare) > 0) & (code / F.greatest(F.length(bare), F.lit(1)) > 0.85))
+    noisy |= F.contains(bare, F.lit("- [")) & (F.size(lines) > 5) & (links / F.size(lines) > 0.6)
+    code = F.length(bare) - F.length(F.regexp_replace(bare, r"(?s)```.*?```", ""))
+    return noisy | (F.contains(bare, F.lit("```")) & (code / F.greatest(F.length(bare), F.lit(1)) > 0.85))
 
 
 def long_enough(question: Column, answer: Column, least_question: int = 12, least_answer: int = 8) -> Column:

@@ -72,7 +72,7 @@ query("h10_shard", "documents", "doc_id", {"shard": lambda: I.shard_index(c("doc
 
 _noise_sql = rf"""{WORDS.format(STRIP)} < 60 OR regexp_matches(lower(coalesce(source,'')), '{NOISE_URL}') OR regexp_matches(lower({STRIP}), '^({'|'.join(p.replace('(', chr(92) + '(').replace(')', chr(92) + ')') for p in P.LICENCE_PREFIXES)})')
  OR regexp_matches({STRIP}, '{P.LICENCE_TEXT.replace("'", "''")}')
- OR (len(string_split({STRIP}, chr(10))) > 5 AND len([x FOR x IN string_split({STRIP}, chr(10)) IF regexp_matches(x, '^\s*- \[')]) / len(string_split({STRIP}, chr(10))) > 0.6)
+ OR (len(regexp_split_to_array({STRIP}, '{P.LINE_END}')) > 5 AND len([x FOR x IN regexp_split_to_array({STRIP}, '{P.LINE_END}') IF regexp_matches(x, '^\s*- \[')]) / len(regexp_split_to_array({STRIP}, '{P.LINE_END}')) > 0.6)
  OR (length({STRIP}) > 0 AND coalesce(list_sum([length(x) FOR x IN regexp_extract_all({STRIP}, '(?s)```.*?```')]), 0) / greatest(length({STRIP}), 1) > 0.85)"""
 query("f1_noise", "documents", "doc_id", {"noise": lambda: P.is_noise(c("text"), c("source"))}, {"noise": _noise_sql})
 query("f3_f4_answer_filters", "documents", "doc_id", {"long_enough": lambda: P.long_enough(c("text"), c("source")), "in_question": lambda: P.answer_in_question(c("text"), F.substring("text", 3, 20))}, {"long_enough": f"{WORDS.format('coalesce(text,{0}{0})').format(chr(39))} >= 12 AND {WORDS.format('coalesce(source,{0}{0})').format(chr(39))} >= 8", "in_question": "regexp_replace(lower(coalesce(text[3:22],'')), '[^a-z0-9_]+', '', 'g') <> '' AND contains(regexp_replace(lower(coalesce(text,'')), '[^a-z0-9_]+', '', 'g'), regexp_replace(lower(coalesce(text[3:22],'')), '[^a-z0-9_]+', '', 'g'))"})

@@ -11,6 +11,7 @@ from corpusloom.functions.text import doc_kind, url_parts
 from corpusloom.operators import match as M
 from corpusloom.operators import rollups as U
 from corpusloom.operators.dedup import admit
+from corpusloom.operators.filters import is_noise
 from corpusloom.sources import files as S
 
 
@@ -97,3 +98,26 @@ def test_tensor_headers(spark, tmp_path):
     assert [got[p].status for p in paths] == ["ok", "warn", "error", "error", "error", "error", "ok"]
     assert (got[good].tensors, got[good].elements, got[good].dtypes, got[more].dtypes) == (2, 12, {"F16": 2}, {"F16": 2, "F32": 1})
     assert got[more].elements == 5 and got[more].warnings == ["1 other tensors"] and got[half].errors == ["not both adapter factors"]
+
+
+def test_noise_by_each_rule(spark):
+    words = "word " * 70
+    given = [
+        (words, "", False),
+        ("short", "", True),
+        (words, "http://x/Third-Party/a", True),
+        ("  MIT License\n" + words, "", True),
+        (words + "THIS software is provided\n\"as-is", "", True),
+        (words + "this software is provided for free", "", False),
+        (words + "creativecommonsXorg/licenses", "", False),
+        (words + "mozilla PUBLIC license", "", True),
+        ("\r".join(["- [a](b) " + "w " * 12] * 6), None, True),
+        ("\u2028".join(["- [a](b) " + "w " * 12] * 5), None, False),
+        ("```" + words + "``` end", None, True),
+        ("```" + words, None, False),
+        (None, None, True),
+        (words * 5000, None, False),
+    ]
+    rows = spark.createDataFrame([(i, t, u) for i, (t, u, _) in enumerate(given)], "i int, t string, u string")
+    got = {r.i: r.n for r in rows.select("i", is_noise(F.col("t"), F.col("u")).alias("n")).collect()}
+    assert [got[i] for i in range(len(given))] == [want for _, _, want in given]
