@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import queries as q
 from corpusloom.llm.bpe import encode_documents
 from corpusloom.llm.decontaminate import match_benchmark
+from corpusloom.llm.frames import small_batches
 from corpusloom.llm.jaccard_join import keep_one_of_each
 from corpusloom.llm.substring_dedup import substring_dedup
 from corpusloom.llm.toxicity import THRESHOLD, score_toxicity, train
@@ -47,12 +50,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _bounded(stage):
+    """The stage with texts handed to workers in small batches: these hold memory of the stages before."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("jaccard_join", drop_near_copies),
-    ("substring_dedup", cut_repeats),
-    ("decontamination", drop_contaminated),
-    ("bpe", encode),
+    ("toxicity", _bounded(drop_toxic)),
+    ("jaccard_join", _bounded(drop_near_copies)),
+    ("substring_dedup", _bounded(cut_repeats)),
+    ("decontamination", _bounded(drop_contaminated)),
+    ("bpe", _bounded(encode)),
 ]
 
 #: SQL can't say these stages; tests compare them with brute force.

@@ -6,10 +6,28 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: Bytes of rows that Spark hands to an Arrow function at once, where ``small_batches`` was called.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session hands at most about ``BATCH_BYTES`` (a row at least) to Arrow functions at once.
+
+    Spark's own limits, 10,000 rows and 64 MB, let batches of texts grow to tens of MB, and an executor holds several for
+    each task: in the JVM's buffers, which double as they grow, and in the workers. A lower limit stays as it is.
+    """
+    now = spark.conf.get(_BATCH, None)
+    if now is not None:
+        now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now)
+    if now is None or not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def free_name(frame: DataFrame, name: str) -> str:
     """The name, with underscores behind it for as long as a column has it (in any case)."""
     taken = {c.lower() for c in frame.columns}

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import lean
+
 #: Keys that a map task packs at a time; bounds its memory.
 PACK = 1 << 19
 
@@ -110,7 +112,7 @@ def shared_keys(rows: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[tu
         if keys and sum(map(len, keys)):
             yield from out(*answer(np.concatenate(keys), np.concatenate(owners), np.concatenate(marks)))
 
-    return rows.mapInArrow(packed, _PACKED).repartition(shards, F.col("shard")).select("owners", "holder", "keys", "ones", "known").mapInArrow(resolved, "owner long, key long")
+    return rows.mapInArrow(lean(packed), _PACKED).repartition(shards, F.col("shard")).select("owners", "holder", "keys", "ones", "known").mapInArrow(lean(resolved), "owner long, key long")
 
 
 def shard_count(frame: DataFrame) -> int:

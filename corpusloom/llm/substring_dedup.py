@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import free_name
+from .frames import free_name, lean
 from .shared import cut_keys, shard_count, shared_keys
 from .textops import gram_hashes, hash_words, scan, slices, sliding_argmin
 
@@ -263,14 +263,14 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     hits = shared_keys(lead, _anchor_keys(window, anchor), shards)
     hits = hits.repartition(shards, "owner").groupBy("owner").agg(F.collect_list("key").alias("keys"))
     found = lead.join(hits, F.col("k") == F.col("owner"))
-    pieces = found.mapInArrow(_pieces(window, anchor), "k long, th long, at int, anchor long, piece binary").select("k", "th", "at", "anchor", F.xxhash64("piece").alias("mark"))
-    distinct = found.mapInArrow(_distinct(window, anchor), "anchor long, piece binary, owner long")
+    pieces = found.mapInArrow(lean(_pieces(window, anchor)), "k long, th long, at int, anchor long, piece binary").select("k", "th", "at", "anchor", F.xxhash64("piece").alias("mark"))
+    distinct = found.mapInArrow(lean(_distinct(window, anchor)), "anchor long, piece binary, owner long")
     ordered = distinct.repartition(shards, "anchor").sortWithinPartitions("anchor", "owner", "piece").select("anchor", F.xxhash64("piece").alias("mark"), "piece", "owner")
-    earliest = ordered.mapInArrow(_first_documents(window, shard_words), "anchor long, mark long, firsts array<long>")
+    earliest = ordered.mapInArrow(lean(_first_documents(window, shard_words)), "anchor long, mark long, firsts array<long>")
     spots = pieces.join(earliest, ["anchor", "mark"]).where(F.exists("firsts", lambda x: x < F.col("k")))
     earlier = F.filter(F.transform("firsts", lambda x, i: F.when(x < F.col("k"), F.col("at") + i)), lambda x: x.isNotNull())
     spans = spots.select(F.col("k").alias("sk"), F.col("th").alias("sh"), earlier.alias("starts")).repartition(shards, "sk").groupBy("sk", "sh").agg(F.flatten(F.collect_list("starts")).alias(covered))
     told = base.join(firsts.withColumn(copy, F.lit(False)), (F.col(k) == F.col("fk")) & same(th, "fh") & same(th2, "fh2"), "left").drop("fk", "fh", "fh2")
     joined = told.join(spans, (F.col(k) == F.col("sk")) & same(th, "sh"), "left").select(*docs.columns, F.coalesce(copy, F.lit(True)).alias(copy), covered)
     schema = docs.limit(0).withColumn(name, F.lit(None).cast(DEDUP)).schema
-    return joined.mapInArrow(_cut(docs.columns.index(text_col), name, window), schema), name
+    return joined.mapInArrow(lean(_cut(docs.columns.index(text_col), name, window)), schema), name

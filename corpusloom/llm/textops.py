@@ -40,7 +40,7 @@ _POW: dict[str, np.ndarray] = {}
 
 def _pow_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POW or len(_POW["p"]) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = SLICE_BYTES + 1 if n <= SLICE_BYTES + 1 else n + n // 2  # a slice's bytes; beyond, a single long text
         _POW["p"] = _powers(_BASE, size)
         _POW["q"] = _powers(pow(_BASE, -1, 2**64), size)
     return _POW["p"], _POW["q"]

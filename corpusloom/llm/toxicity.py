@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import add_column, free_name
+from .frames import add_column, free_name, lean
 
 #: Labelled rows that training reads at most.
 SAMPLE = 12_000
@@ -199,13 +199,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad or not good:
         return Model([], np.zeros(0), math.log(40) if bad else -40.0)
-    sides = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_exploded, "term binary, toxic int, sign long").distinct().groupBy("term").agg(F.sum("toxic").alias("on"), F.sum(1 - F.col("toxic")).alias("off"))
+    sides = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(lean(_exploded), "term binary, toxic int, sign long").distinct().groupBy("term").agg(F.sum("toxic").alias("on"), F.sum(1 - F.col("toxic")).alias("off"))
     ratio = F.log((F.col("on") + 0.5) / (bad + 1)) - F.log((F.col("off") + 0.5) / (good + 1))
     # terms of many rows and a clear lean; a fixed number of them
     top = sides.where(F.col("on") >= max(LEAST_ROWS, LEAST_SHARE * bad)).withColumn("lean", ratio).where("lean > 4.2").orderBy(F.desc(F.col("lean") * F.sqrt("on")), "term").limit(TERMS - len(INSULTS)).collect()
     terms = [bytes(r.term) for r in top]
     terms += [t for t in INSULTS if t not in set(terms)]
-    found = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_indexed(spark.sparkContext.broadcast(terms)), "found array<int>, marks int, toxic int").toPandas()  # at most SAMPLE rows
+    found = rows.select("t", F.col("toxic").cast("int").alias("toxic")).mapInArrow(lean(_indexed(spark.sparkContext.broadcast(terms))), "found array<int>, marks int, toxic int").toPandas()  # at most SAMPLE rows
     held = [np.asarray(x, dtype=np.int64) for x in found["found"]]
     place = {t: i for i, t in enumerate(terms)}
     learned = [place[bytes(r.term)] for r in top ][:VOTERS]
